@@ -1,5 +1,6 @@
 import hashlib
 
+from tessera.llm import substring_dedup as module
 from tessera.llm.substring_dedup import op1, repeat_levels, substring_dedup
 
 
@@ -73,3 +74,18 @@ def test_long_text(make):
 def test_levels(make):
     text = " ".join(f"w{i}" for i in range(50))
     assert repeat_levels(make([text, text])) == [(20, 31), (40, 11), (80, 0)]
+
+
+def test_small_buckets_agree(make, prose, monkeypatch):
+    texts = prose(n=70, seed=13)
+    monkeypatch.setattr(module, "BUCKET", 30)
+    assert result(op1(make(texts))) == brute(list(enumerate(texts)), 20)
+
+
+def test_packing_of_windows():
+    r = module.np.random.default_rng(1)
+    for ids, versions in ((r.integers(-(2**62), 2**62, 50), r.integers(-9, 9, 50)), (r.integers(0, 9, 50), module.np.zeros(50, int))):
+        doc = module.np.sort(ids)
+        given = (r.integers(0, 2**63, 50).astype(module.np.uint64), r.integers(0, 2**16, 50).astype(module.np.uint16), doc, versions, r.integers(0, 70_000, 50))
+        for a, b in zip(given, module._unpacked(module._packed(*given)), strict=True):
+            assert (a == b).all()
