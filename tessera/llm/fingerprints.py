@@ -177,7 +177,7 @@ def beside_next(docs: DataFrame) -> DataFrame:
         some = [i for i in to if i is not None]
         picked = F.col("doc_id").isin(some) | (F.col("doc_id").isNull() if None in to else F.lit(False))
         spread = spread.union(docs.where(picked).select("doc_id", "text", target.alias("range"), F.lit(True).alias("guest")))
-    spread = spread.repartition(n, "range").sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), "text")
+    spread = spread.repartitionById(last + 1, F.col("range")).sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), "text")
     return spread.select("doc_id", "text", "guest").mapInArrow(_beside_next, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
