@@ -173,7 +173,7 @@ def near_components(prints: DataFrame) -> DataFrame:
     each = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     tree = components(links(each.select("fp")))
     roots = each.join(tree, each.fp == tree.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = settled(roots.groupBy("root").agg(F.min("least").alias("component_id")))  # so that AQE can split a hot root
     named = roots.join(named, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
