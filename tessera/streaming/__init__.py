@@ -1 +1 @@
-
+"""No streaming operators: the workload has none."""
