@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, fingerprints, language_id, packing, quality, secrets, simhash, substring_dedup, toxicity, url_filters
+from tessera.llm import bpe, fingerprints, language_id, oracles, packing, quality, secrets, simhash, substring_dedup, toxicity, url_filters
 from tessera.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": url_filters.OP5_SQL}
+    return oracles.oracle_sql()
