@@ -67,19 +67,30 @@ def pairs(found: DataFrame, method: str) -> DataFrame:
     return found.select("sid", "tid", *flags, *[(F.col(c) if c in have else x).cast(kinds[c]).alias(c) for c, x in extra.items()])
 
 
-def exact_block(queries: DataFrame, targets: DataFrame, column: str, method: str, cfg: BlockConfig) -> DataFrame:
+def _exact_found(queries: DataFrame, postings: DataFrame, column: str, method: str) -> DataFrame:
     q = queries.where(F.col(column) != "").select("sid", "country", F.col(column).alias("key"))
-    return pairs(q.join(exact_postings(targets, column, cfg), ["country", "key"]), method)
+    return pairs(q.join(postings, ["country", "key"]), method)
 
 
-def address_block(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
+def exact_block(queries: DataFrame, targets: DataFrame, column: str, method: str, cfg: BlockConfig) -> DataFrame:
+    return _exact_found(queries, exact_postings(targets, column, cfg), column, method)
+
+
+def _address_found(queries: DataFrame, postings: DataFrame) -> DataFrame:
     q = queries.where((F.col("street_num") != "") & (F.length("street_num") <= 6)).select("sid", "country", F.col("street_num").alias("key"))
-    return pairs(q.join(address_postings(targets, cfg), ["country", "key"]), "addr")
+    return pairs(q.join(postings, ["country", "key"]), "addr")
+
+
+def address_block(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
+    return _address_found(queries, address_postings(targets, cfg))
 
 
 def rare_block(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
+    return _rare_found(queries, rare_postings(targets, cfg), cfg)
+
+
+def _rare_found(queries: DataFrame, postings: DataFrame, cfg: BlockConfig) -> DataFrame:
     """Pairs that share one of the query's rarest tokens; a token repeated in the query counts as often."""
-    postings = rare_postings(targets, cfg)
     df = postings.select("country", "key", "df").distinct()
     rarest = Window.partitionBy("sid").orderBy("df", "key")
     q = name_tokens(queries, "sid").join(df, ["country", "key"]).withColumn("rn", F.row_number().over(rarest)).where(F.col("rn") <= cfg.rare_tokens)
@@ -96,5 +107,16 @@ def merge(*found: DataFrame) -> DataFrame:
     return rows.groupBy("sid", "tid").agg(*[F.bool_or(m).alias(m) for m in METHODS], F.min("tfidf_rank").alias("tfidf_rank"), F.min("tfidf_score").alias("tfidf_score"), F.max("n_rare_shared").alias("n_rare_shared"))
 
 
+def postings_of(targets: DataFrame, cfg: BlockConfig) -> dict[str, DataFrame]:
+    """The posting tables of all methods, to be kept and looked up again."""
+    return {"name": exact_postings(targets, "name_norm", cfg), "ss": exact_postings(targets, "name_ss", cfg), "addr": address_postings(targets, cfg), "rare": rare_postings(targets, cfg)}
+
+
+def look_up(queries: DataFrame, postings: dict[str, DataFrame], cfg: BlockConfig) -> DataFrame:
+    """The merged pairs of all posting tables."""
+    found = (_exact_found(queries, postings["name"], "name_norm", "e_name"), _exact_found(queries, postings["ss"], "name_ss", "e_ss"))
+    return merge(*found, _address_found(queries, postings["addr"]), _rare_found(queries, postings["rare"], cfg))
+
+
 def join_blocks(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
-    return merge(exact_block(queries, targets, "name_norm", "e_name", cfg), exact_block(queries, targets, "name_ss", "e_ss", cfg), address_block(queries, targets, cfg), rare_block(queries, targets, cfg))
+    return look_up(queries, postings_of(targets, cfg), cfg)

@@ -45,6 +45,21 @@ def cluster_profile(rows: DataFrame, key: str | Column, cap: int) -> DataFrame:
     return sizes.groupBy("cluster_size").agg(F.count("*").alias("clusters"), F.max((F.col("cluster_size") > cap).cast("int")).alias("over_cap"))
 
 
+def development_sample(queries: DataFrame, targets: DataFrame, links: DataFrame, matched: int, single: int, many: int, extra: int, least: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Queries and targets to develop with: `matched` queries with a link, `single` ones without, `many` with `least`
+    links or more, all targets they link to and up to `extra` others of each source.  links: source1_entity_id,
+    entity_id.  Sizes are parameters, so each sort by hash is a bounded top-k."""
+    counts = links.groupBy(F.col("source1_entity_id").alias("entity_id")).agg(F.count("*").alias("n"))
+    known = queries.select("entity_id").distinct().join(counts, "entity_id", "left").na.fill(0, ["n"])
+    kinds = (("n > 0", matched), ("n = 0", single), (f"n >= {least}", many))
+    parts = [sample_by_hash(known.where(c), "entity_id", n, seed) for c, n in kinds]
+    chosen = stage(parts[0].union(parts[1]).union(parts[2]).select("entity_id").distinct())
+    linked = links.join(chosen.withColumnRenamed("entity_id", "source1_entity_id"), "source1_entity_id", "left_semi").select("entity_id").distinct()
+    others = targets.join(linked, "entity_id", "left_anti")
+    extras = [sample_by_hash(others.where(f"source_no = {n}"), "entity_id", extra, seed) for n in (2, 3)]
+    return queries.join(chosen, "entity_id", "left_semi").select(*queries.columns), targets.join(linked, "entity_id", "left_semi").select(*targets.columns).unionByName(extras[0].unionByName(extras[1]))
+
+
 def sample_by_hash(rows: DataFrame, by: str, n: int, seed: int = 42) -> DataFrame:
     """n rows that do not depend on the layout."""
     return rows.withColumn("h", F.md5(F.concat(F.col(by).cast("string"), F.lit(f"-{seed}")))).orderBy("h", by).limit(n).drop("h")

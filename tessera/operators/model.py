@@ -25,6 +25,21 @@ def features_of(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
 
+def importance(model: PipelineModel) -> dict[str, float]:
+    """Features by their share in the splits' gains, or by the size of their coefficient; most important first."""
+    fitted = model.stages[-1]
+    values = fitted.featureImportances if hasattr(fitted, "featureImportances") else fitted.coefficients
+    return dict(sorted(zip(features_of(model), map(float, values.toArray()), strict=True), key=lambda x: (-abs(x[1]), x[0])))
+
+
+def save(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def score(model: PipelineModel, rows: DataFrame, features: tuple[str, ...]) -> DataFrame:
     if list(features) != features_of(model):
         raise ValueError("the features differ from those the model was trained with")

@@ -37,9 +37,13 @@ def weights(rows: DataFrame, of: str, vocab: DataFrame) -> DataFrame:
 def topk(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
     """sid, tid, tfidf_score, tfidf_rank of the K nearest targets of each query."""
     vocab = vocabulary(targets, cfg)
+    return nearest(queries, vocab, weights(targets, "tid", vocab), cfg)
+
+
+def nearest(queries: DataFrame, vocab: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
+    """topk from a vocabulary and the weights of the targets, as kept from an earlier run."""
     q = weights(queries, "sid", vocab).withColumnRenamed("w", "qw")
-    t = weights(targets, "tid", vocab)
-    scores = q.join(t, ["country", "token"]).groupBy("sid", "tid").agg(F.round(F.sum(F.col("qw") * F.col("w")), 6).alias("tfidf_score"))
+    scores = q.join(targets, ["country", "token"]).groupBy("sid", "tid").agg(F.round(F.sum(F.col("qw") * F.col("w")), 6).alias("tfidf_score"))
     rank = Window.partitionBy("sid").orderBy(F.col("tfidf_score").desc(), "tid")
     return scores.where("tfidf_score > 0").withColumn("tfidf_rank", F.row_number().over(rank)).where(F.col("tfidf_rank") <= cfg.k)
 

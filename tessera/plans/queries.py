@@ -342,8 +342,9 @@ def name_cluster_profile(spark, sf_dir):
 def country_consistency(spark, sf_dir):
     """Links by the languages of their ends, over equal texts of any language."""
     d = read(spark, sf_dir, "documents").select("doc_id", "lang", "text", (1 + F.col("doc_id") % 3).alias("s"))
-    q, t = d.where("s = 1").select(F.col("lang").alias("q_lang"), "text"), d.where("s > 1").select(F.col("lang").alias("t_lang"), "text")
-    return q.join(t, "text").groupBy("q_lang", "t_lang").agg(F.count("*").alias("links"))
+    # counted on each side first: a text with many copies is one row a language, not all its pairs
+    q, t = (d.where(c).groupBy("text", F.col("lang").alias(f"{x}_lang")).agg(F.count("*").alias(x)) for c, x in (("s = 1", "q"), ("s > 1", "t")))
+    return q.join(t, "text").groupBy("q_lang", "t_lang").agg(F.sum(F.col("q") * F.col("t")).alias("links"))
 
 
 @query

@@ -37,11 +37,20 @@ def ids_of(lists: Column | str) -> Column:
 
 
 def read_matches(spark: SparkSession, path: str, column: str = "matched_entity_ids") -> DataFrame:
-    """source1_entity_id and the array of ids of a written match list."""
+    """source1_entity_id and the array of ids of a written match list; of lines with one id, the last counts."""
     df = _tsv(spark, path).csv(path)
     if df.columns != ["source1_entity_id", column]:
         raise ValueError(f"{path}: unexpected header {df.columns}")
-    return df.where("source1_entity_id is not null").select("source1_entity_id", ids_of(column).alias("ids"))
+    lines = df.where("source1_entity_id is not null").select("source1_entity_id", ids_of(column).alias("ids"), F.monotonically_increasing_id().alias("line"))
+    return lines.groupBy("source1_entity_id").agg(F.max_by("ids", "line").alias("ids"))
+
+
+def read_match_lines(spark: SparkSession, path: str, column: str = "matched_entity_ids") -> DataFrame:
+    """All lines of a match list as they are: sid, matched_entity_ids."""
+    df = _tsv(spark, path).csv(path)
+    if df.columns != ["source1_entity_id", column]:
+        raise ValueError(f"{path}: unexpected header {df.columns}")
+    return df.select(F.col("source1_entity_id").alias("sid"), F.coalesce(column, F.lit("")).alias("matched_entity_ids"))
 
 
 def write_matches(lists: DataFrame, path: str, column: str = "matched_entity_ids") -> None:
@@ -67,6 +76,32 @@ def manifest(spark: SparkSession, path: str) -> dict | None:
     return json.loads(spark.read.text(f"{path}.manifest").first()[0])
 
 
+def traced(spark: SparkSession, path: str, build: Callable[[], DataFrame], **about: object) -> DataFrame:
+    """As `staged`, but built again where its settings, or the tables it came from, are no longer those of its
+    manifest.  about: what the table depends on, as JSON values."""
+    note = manifest(spark, path)
+    if note is None or any(note.get(k) != v for k, v in about.items()):
+        drop(spark, path)
+    return staged(spark, path, build, **about)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Removes a stage's table, its manifest first, so that a half-removed one counts as not there."""
+    for p in (f"{path}.manifest", path):
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def read_report(spark: SparkSession, path: str) -> list[dict]:
+    """A report of few rows."""
+    return [json.loads(r.value) for r in spark.read.text(path).collect()]
+
+
 def require_same_k(spark: SparkSession, features: str, k: int) -> None:
     """Features made with another K than the model's are refused; a table without a manifest is tolerated."""
     note = manifest(spark, features)
