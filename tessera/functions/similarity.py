@@ -72,7 +72,8 @@ def token_set(text: Column, separator: str = " ") -> Column:
     return F.array_distinct(F.array_remove(F.split(F.coalesce(text, F.lit("")), separator), ""))
 
 
-def jaccard(a: Column, b: Column, empty: float) -> Column:
-    """Of two sets; `empty` where both are empty."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(empty)).otherwise(F.size(F.array_intersect(a, b)) / union)
+def jaccard(a: Column, b: Column, empty: float, common: Column | None = None) -> Column:
+    """Of two sets; `empty` where both are empty.  common: the size of their intersection, if it is known."""
+    common = F.size(F.array_intersect(a, b)) if common is None else common
+    union = F.size(a) + F.size(b) - common
+    return F.when(union == 0, F.lit(empty)).otherwise(common / union)

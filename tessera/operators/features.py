@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions import similarity as S
 
-USED = ("name_norm", "name_ss", "name_tok", "name_num", "name_nchar", "addr_norm", "addr_num", "addr_nchar", "street_num", "unit_num", "postal")
+USED = ("name_norm", "name_ss", "name_nchar", "addr_norm", "addr_nchar", "street_num", "unit_num", "postal")
+#: Token sets, made once for each entity: columns, separators, likeness of two empty ones (names alike, addresses not).
+TOKEN_SETS = {"name_tok": (" ", 1.0), "addr_norm": (" ", 0.0), "name_num": (",", 1.0), "addr_num": (",", 0.0)}
 SCALAR = (
     "n_exact n_exact_ss n_len_diff n_nchar_ratio a_street_match a_street_conflict a_unit_match a_unit_conflict a_postal_match a_postal_conflict "
     "a_missing_either a_missing_both x_exact_name_street x_rare_street r_tfidf_rank_norm r_tfidf_score r_n_methods n_rare_shared "
@@ -19,9 +21,11 @@ FEATURES = (*SCALAR, *SETS, *FUZZY)
 
 
 def attach(candidates: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
-    q = queries.select("sid", *[F.col(c).alias(f"q_{c}") for c in USED])
-    t = targets.select("tid", *[F.col(c).alias(f"t_{c}") for c in USED])
-    return candidates.join(q, "sid").join(t, "tid")
+    def side(rows: DataFrame, of: str, s: str) -> DataFrame:
+        sets = [S.token_set(F.col(c), sep).alias(f"{s}_{c}_set") for c, (sep, _) in TOKEN_SETS.items()]
+        return rows.select(of, *[F.col(c).alias(f"{s}_{c}") for c in USED], *sets)
+
+    return candidates.join(side(queries, "sid", "q"), "sid").join(side(targets, "tid", "t"), "tid")
 
 
 def _flag(c: Column) -> Column:
@@ -58,9 +62,12 @@ def scalar(d: DataFrame, k: int) -> DataFrame:
 
 
 def sets(d: DataFrame) -> DataFrame:
-    """Empty against empty: alike for names, unlike for addresses."""
-    tok, num, addr, house = (tuple(S.token_set(F.col(f"{s}_{c}"), sep) for s in "qt") for c, sep in (("name_tok", " "), ("name_num", ","), ("addr_norm", " "), ("addr_num", ",")))
-    d = d.withColumns({"n_jaccard": S.jaccard(*tok, 1.0), "n_common_tokens": F.size(F.array_intersect(*tok)), "a_jaccard": S.jaccard(*addr, 0.0), "n_num_jaccard": S.jaccard(*num, 1.0), "a_num_jaccard": S.jaccard(*house, 0.0)})
+    """Likeness of the token sets; each intersection is made once."""
+    pair = {c: (F.col(f"q_{c}_set"), F.col(f"t_{c}_set")) for c in TOKEN_SETS}
+    d = d.withColumns({f"_{c}": F.size(F.array_intersect(*p)) for c, p in pair.items()})
+    like = {c: S.jaccard(*p, TOKEN_SETS[c][1], F.col(f"_{c}")) for c, p in pair.items()}
+    d = d.withColumns({"n_jaccard": like["name_tok"], "n_common_tokens": F.col("_name_tok"), "a_jaccard": like["addr_norm"], "n_num_jaccard": like["name_num"], "a_num_jaccard": like["addr_num"]})
+    d = d.drop(*[f"_{c}" for c in pair])
     return d.withColumn("x_exact_name_addr", _flag((F.col("q_name_norm") == F.col("t_name_norm")) & (F.col("a_num_jaccard") > 0)))
 
 

@@ -30,8 +30,8 @@ def vocabulary(targets: DataFrame, cfg: BlockConfig) -> DataFrame:
 def weights(rows: DataFrame, of: str, vocab: DataFrame) -> DataFrame:
     """Unit vectors: country, id, token, w."""
     w = term_counts(rows, of).join(vocab.select("country", "token", "idf"), ["country", "token"]).withColumn("w", (1 + F.log("tf")) * F.col("idf"))
-    norm = w.groupBy("country", of).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, ["country", of]).select("country", of, "token", (F.col("w") / F.col("norm")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("country", of)))
+    return w.select("country", of, "token", (F.col("w") / norm).alias("w"))
 
 
 def topk(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:

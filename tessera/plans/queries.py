@@ -41,7 +41,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.filter(F.split("text", r"\s+"), lambda x: x != "")
+    # 24 words are wanted; the limit leaves room for an empty piece before them and keeps the rest of a long text whole
+    words = F.filter(F.split("text", r"\s+", 26), lambda x: x != "")
     d = read(spark, sf_dir, "documents").withColumn("w", words)
     return d.select(F.col("doc_id").alias("entity_id"), (1 + F.col("doc_id") % 3).alias("source_no"), F.col("lang").alias("country"), F.array_join(F.slice("w", 1, 8), " ").alias("name"), F.array_join(F.slice("w", 9, 16), " ").alias("address"))
 
