@@ -3,10 +3,12 @@
 Base kinds (assign, access, hex) are leftmost non-overlapping matches of fixed
 patterns; a match's place comes from the lengths of what a split leaves between
 matches.  The entropy kind looks at candidate strings of `WINDOW` characters or
-more: a window slides over each, Shannon's entropy within the string's character
-class is kept by adding and removing one count at a time, and a string whose
-best window reaches the class's threshold is a secret, unless an allow-list
-pattern fits it or it touches a base span.  Base spans always stay.
+more: a window slides over each, Shannon's entropy within a character class is
+kept by adding and removing one count at a time, and a string whose best window
+reaches the class's threshold is a secret, unless an allow-list pattern fits it
+or it touches a base span.  The text class looks at the whole string, the hex
+class at each run of `WINDOW` hex digits or more in it (that no allow-list
+pattern fits), so that a prefix hides no hex secret.  Base spans always stay.
 
 Everything is an expression over one row: no shuffle, no Python.
 
@@ -79,7 +81,9 @@ def scan(docs: DataFrame) -> DataFrame:
     string = "substr(_t, cast(x.start as int) + 1, cast(x.until - x.start as int))"
     allowed = " or ".join(f"s rlike {_quoted(a)}" for a in ALLOWED)
     hexes = f"s rlike {_quoted('^[0-9a-fA-F]+$')}"
-    loud = f"if({hexes}, {_entropy('s', 'hex')} >= {CLASSES['hex'][1]}D, {_entropy('s', 'text')} >= {CLASSES['text'][1]}D)"
+    runs = f"regexp_extract_all(s, {_quoted(f'[0-9a-fA-F]{{{WINDOW},}}')}, 0)"
+    hexed = f"exists({runs}, h -> not ({allowed.replace('s rlike', 'h rlike')}) and {_entropy('h', 'hex')} >= {CLASSES['hex'][1]}D)"
+    loud = f"({hexed} or not {hexes} and {_entropy('s', 'text')} >= {CLASSES['text'][1]}D)"
     fresh = "not exists(_base, b -> b.start < x.until and x.start < b.until)"
     d = d.withColumn("_more", F.expr(f"filter(_more, x -> {fresh} and exists(array({string}), s -> not ({allowed}) and {loud}))"))
     return d.withColumn("spans", F.sort_array(F.concat("_base", "_more"))).drop("_t", "_low", "_base", "_more")

@@ -77,3 +77,15 @@ def test_defined_cases(make):
     assert op2(make([])).count() == 0
     assert [r.spans for r in op2(make([None, None], [None, 2])).collect()] == ["", ""]
     assert scan(make(["token=abcdef"])).columns[-1] == "spans"
+
+
+def test_hex_behind_a_prefix(make):
+    r = random.Random(9)
+    secrets = ["".join(r.choices("0123456789ABCDEF", k=k)) for k in (32, 40) for _ in range(20)]
+    secrets = [s for s in secrets if loud(s)]
+    t = [lead + s for lead in ("session=", "key_", "id-", "a/b+") for s in secrets]
+    rows = {r.doc_id: r.spans for r in op2(make(t)).collect()}
+    assert len(secrets) > 30 and rows == {i: f"entropy:0:{len(x)}" for i, x in enumerate(t)}
+    assert {r.text for r in redact(make(t)).collect()} == {"[REDACTED]"}
+    harmless = ["order_" + "8301947562" * 3, "id-" + "DEADBEEFCAFE" * 2, "key_example_" + secrets[0]]
+    assert [x for x in op2(make(harmless)).collect() if x.n_entropy] == []
