@@ -5,8 +5,9 @@ patterns; a match's place comes from the lengths of what a split leaves between
 matches.  The entropy kind looks at candidate strings of `WINDOW` characters or
 more: a window slides over each, Shannon's entropy within a character class is
 kept by adding and removing one count at a time, and a string whose best window
-reaches the class's threshold is a secret, unless an allow-list pattern fits it
-or it touches a base span.  The text class looks at the whole string, the hex
+reaches the class's threshold is a secret, unless an allow-list pattern fits it.
+Where base spans cover part of a candidate, what they leave of it is looked at
+in their place, as far as it has `WINDOW` characters.  The text class looks at the whole string, the hex
 class at each run of `WINDOW` hex digits or more in it (that no allow-list
 pattern fits), so that a prefix hides no hex secret.  Base spans always stay.
 
@@ -84,8 +85,14 @@ def scan(docs: DataFrame) -> DataFrame:
     runs = f"regexp_extract_all(s, {_quoted(f'[0-9a-fA-F]{{{WINDOW},}}')}, 0)"
     hexed = f"exists({runs}, h -> not ({allowed.replace('s rlike', 'h rlike')}) and {_entropy('h', 'hex')} >= {CLASSES['hex'][1]}D)"
     loud = f"({hexed} or not {hexes} and {_entropy('s', 'text')} >= {CLASSES['text'][1]}D)"
-    fresh = "not exists(_base, b -> b.start < x.until and x.start < b.until)"
-    d = d.withColumn("_more", F.expr(f"filter(_more, x -> {fresh} and exists(array({string}), s -> not ({allowed}) and {loud}))"))
+    piece = "named_struct('start', {}, 'rank', x.rank, 'until', {})"
+    cut = f"if(b.start - acc.at >= {WINDOW}, array_append(acc.out, {piece.format('acc.at', 'b.start')}), acc.out)"
+    last = f"if(x.until - acc.at >= {WINDOW}, array_append(acc.out, {piece.format('acc.at', 'x.until')}), acc.out)"
+    touching = "filter(_base, b -> b.start < x.until and x.start < b.until)"
+    parts = f"""aggregate(sort_array({touching}), named_struct('at', x.start, 'out', cast(array() as {_SPAN})),
+        (acc, b) -> named_struct('at', greatest(acc.at, b.until), 'out', {cut}), acc -> {last})"""
+    d = d.withColumn("_more", F.expr(f"flatten(transform(_more, x -> {parts}))"))
+    d = d.withColumn("_more", F.expr(f"filter(_more, x -> exists(array({string}), s -> not ({allowed}) and {loud}))"))
     return d.withColumn("spans", F.sort_array(F.concat("_base", "_more"))).drop("_t", "_low", "_base", "_more")
 
 
