@@ -8,7 +8,8 @@ equal texts within a language are the ground truth.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from dataclasses import replace
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tessera.operators import blocking, entities, evaluate, features, labels, mo
 from tessera.operators.blocking import BlockConfig
 from tessera.operators.stages import stage
 
-CFG = BlockConfig(max_df=300)  # for tables of thousands of rows; BlockConfig.scaled() gives it for others
+CFG = BlockConfig(max_df=300)  # for tables of thousands of rows, and the least for others
 VAL, PER_POS, SEED, THRESHOLD = 0.3, 5, 42, 0.6
 Query = Callable[[SparkSession, str], DataFrame]
 _all: dict[str, Query] = {}
@@ -47,6 +48,12 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("doc_id").alias("entity_id"), (1 + F.col("doc_id") % 3).alias("source_no"), F.col("lang").alias("country"), F.array_join(F.slice("w", 1, 8), " ").alias("name"), F.array_join(F.slice("w", 9, 16), " ").alias("address"))
 
 
+def cfg_of(target_rows: int) -> BlockConfig:
+    """The frequency cut-offs of BlockConfig.scaled() at the reference's proportions, CFG's at least."""
+    big = BlockConfig().scaled(target_rows)
+    return replace(CFG, **{f: max(getattr(CFG, f), getattr(big, f)) for f in ("rare_max_df", "addr_max_df", "max_df")})
+
+
 class Data:
     """Tables that several queries share, each staged on first use."""
 
@@ -55,13 +62,17 @@ class Data:
         norm = stage(N.normalize(raw(spark, sf_dir)))
         self.q, self.t = entities.queries_of(norm), entities.target_union(norm)
 
+    @cached_property
+    def cfg(self) -> BlockConfig:
+        return cfg_of(self.t.count())
+
     def truth(self) -> DataFrame:
         d = read(self.spark, self.dir, "documents").select("doc_id", "lang", "text", (1 + F.col("doc_id") % 3).alias("s"))
         q, t = (d.where(c).select(F.col("doc_id").alias(i), "lang", "text") for c, i in (("s = 1", "sid"), ("s > 1", "tid")))
         return q.join(t, ["lang", "text"]).select("sid", "tid").distinct()
 
     def candidates(self) -> DataFrame:
-        return stage(blocking.merge(blocking.join_blocks(self.q, self.t, CFG), tfidf.tfidf_block(self.q, self.t, CFG)))
+        return stage(blocking.merge(blocking.join_blocks(self.q, self.t, self.cfg), tfidf.tfidf_block(self.q, self.t, self.cfg)))
 
     def scored(self) -> DataFrame:
         d = features.attach(self.candidates(), self.q, self.t)
@@ -150,22 +161,23 @@ def stats_addr(spark, sf_dir):
 
 @query
 def stats_rare_token(spark, sf_dir):
-    return blocking.rare_postings(Data(spark, sf_dir).t, CFG)
+    d = Data(spark, sf_dir)
+    return blocking.rare_postings(d.t, d.cfg)
 
 
 def _block(spark, sf_dir, make):
     d = Data(spark, sf_dir)
-    return make(d.q, d.t)
+    return make(d.q, d.t, d.cfg)
 
 
 @query
 def block_exact_name(spark, sf_dir):
-    return _block(spark, sf_dir, lambda q, t: blocking.exact_block(q, t, "name_norm", "e_name", CFG)).select("sid", "tid")
+    return _block(spark, sf_dir, lambda q, t, cfg: blocking.exact_block(q, t, "name_norm", "e_name", cfg)).select("sid", "tid")
 
 
 @query
 def block_suffix(spark, sf_dir):
-    return _block(spark, sf_dir, lambda q, t: blocking.exact_block(q, t, "name_ss", "e_ss", CFG)).select("sid", "tid")
+    return _block(spark, sf_dir, lambda q, t, cfg: blocking.exact_block(q, t, "name_ss", "e_ss", cfg)).select("sid", "tid")
 
 
 @query
@@ -177,28 +189,29 @@ def block_address(spark, sf_dir):
 
 @query
 def block_rare(spark, sf_dir):
-    return _block(spark, sf_dir, lambda q, t: blocking.rare_block(q, t, CFG)).select("sid", "tid", "n_rare_shared")
+    return _block(spark, sf_dir, lambda q, t, cfg: blocking.rare_block(q, t, cfg)).select("sid", "tid", "n_rare_shared")
 
 
 @query
 def candidate_merge(spark, sf_dir):
-    return _block(spark, sf_dir, lambda q, t: blocking.join_blocks(q, t, CFG)).select("sid", "tid", "e_name", "e_ss", "rare", "addr", "n_rare_shared")
+    return _block(spark, sf_dir, lambda q, t, cfg: blocking.join_blocks(q, t, cfg)).select("sid", "tid", "e_name", "e_ss", "rare", "addr", "n_rare_shared")
 
 
 @query
 def tfidf_vocab(spark, sf_dir):
-    return tfidf.vocabulary(Data(spark, sf_dir).t, CFG).withColumn("idf", F.round("idf", 6))
+    d = Data(spark, sf_dir)
+    return tfidf.vocabulary(d.t, d.cfg).withColumn("idf", F.round("idf", 6))
 
 
 @query
 def tfidf_weights(spark, sf_dir):
     d = Data(spark, sf_dir)
-    return tfidf.weights(d.t, "tid", tfidf.vocabulary(d.t, CFG)).withColumn("w", F.round("w", 6))
+    return tfidf.weights(d.t, "tid", tfidf.vocabulary(d.t, d.cfg)).withColumn("w", F.round("w", 6))
 
 
 @query
 def tfidf_topk(spark, sf_dir):
-    return _block(spark, sf_dir, lambda q, t: tfidf.topk(q, t, CFG))
+    return _block(spark, sf_dir, lambda q, t, cfg: tfidf.topk(q, t, cfg))
 
 
 @query

@@ -186,3 +186,14 @@ def test_stages_resume(spark, tmp_path):
     tables.require_same_k(spark, str(tmp_path / "none"), 50)
     with pytest.raises(ValueError):
         tables.require_same_k(spark, str(tmp_path / "t"), 100)
+
+
+def test_cutoffs_of_queries_follow_the_targets():
+    from tessera.plans import queries
+
+    assert queries.cfg_of(6_666) == queries.cfg_of(54_000) == queries.CFG
+    big = queries.cfg_of(10_000_000)
+    assert (big.max_df, big.rare_max_df, big.addr_max_df) == (55_051, 367, 1_835)
+    d = object.__new__(queries.Data)
+    d.t = type("T", (), {"count": lambda self: 10_000_000})()
+    assert d.cfg == big
