@@ -37,14 +37,16 @@ _BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n, kept per worker."""
+    """base**i and base**-i modulo 2**64 for i < n.  Those for usual chunks are kept per worker, longer ones are not."""
     got = _powers.get(base)
     if got is None or len(got[0]) < n:
         size = max(n, CHUNK_BYTES + 64)
         up, down = np.empty(size, np.uint64), np.empty(size, np.uint64)
         up[0] = down[0] = 1
         up[1:], down[1:] = base & _M, pow(base, -1, 1 << 64)
-        got = _powers[base] = (np.multiply.accumulate(up), np.multiply.accumulate(down))
+        got = (np.multiply.accumulate(up, out=up), np.multiply.accumulate(down, out=down))
+        if size <= 4 * CHUNK_BYTES:
+            _powers[base] = got
     return got[0][:n], got[1][:n]
 
 
