@@ -1,7 +1,10 @@
 import random
 import re
+import time
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tessera.llm.quality import measure, op6
 
 
@@ -44,3 +47,47 @@ def test_verdicts(make):
 def test_defined_cases(make):
     assert op6(make([])).count() == 0
     assert [(r.n_words, r.base_failed, r.kept) for r in op6(make([None, None, " "], [None, None, 1])).collect()] == [(0, True, False)] * 3
+
+
+def plain_kept(text):
+    """The whole verdict, line by line."""
+    n, *_, failed = brute(text)
+    phrases = r"all rights reserved|licensed under|alle rechte vorbehalten|tous droits réservés|todos los derechos reservados|uses cookies"
+    furniture = r"log ?in|subscribe|read more|anmelden|cliquez ici|leer más"
+    whole = lambda x, p: re.search(rf"(?i)(^|[^\w])({p})($|[^\w])", x)
+    left = 0
+    for line in (text or "").split("\n"):
+        words = re.findall(r"[^\x20\x09-\x0D]+", line)
+        if not words:
+            continue
+        parts, bars = line.split(" "), len(re.findall("[|»›•·]", line))
+        bad = len(re.findall(r"[#*$%&<>~^\\{}]", line)) * 10 >= len(line) or len(parts) < 4 and not re.search("[.!?…,;:。！？]", line)
+        bad = bad or bars >= 3 and 2 * bars >= len(parts) - bars or len(line) <= 200 and whole(line, phrases) or len(parts) <= 8 and whole(line, furniture)
+        left += 0 if bad else len(words)
+    return not failed and left >= 0.5 * n
+
+
+def test_phrases_are_whole_words(make):
+    r = random.Random(3)
+    clean = "\n".join(sentence(r) for _ in range(8))
+    lines = ["The catalog in the hall was new.", "A dialog in act three.", "They subscribed to it.", "We log in to the system every day and then subscribe to what is there.", "Log in.", "Please read more.", "Alle Rechte vorbehalten.", "TOUS DROITS RÉSERVÉS", "Todos los derechos reservados.", "Cliquez ici, merci.", "Bitte anmelden.", "xlicensed underx."]
+    rows = {x.doc_id: x for x in measure(make([clean + "\n" + line for line in lines])).collect()}
+    assert [rows[i].cleaned_text != clean for i in range(len(lines))] == [True, True, True, True, False, False, False, False, False, False, False, True]
+    texts = [x * k + "\n" + "\n".join(r.choices(lines, k=r.randrange(30))) for x in (clean, "", sentence(r)) for k in (1, 2) for _ in range(8)]
+    assert {x.doc_id: x.kept for x in op6(make(texts)).collect()} == {i: plain_kept(t) for i, t in enumerate(texts)}
+
+
+def test_filters_cost_no_more_and_columns_stay(make):
+    r = random.Random(4)
+    texts = ["\n".join(sentence(r) for _ in range(20)) for _ in range(50)] + [None]
+    names = ("w", "l", "h", "s", "p", "k", "t", "n", "row", "_w", "_l", "_h", "_s", "_p", "_k")
+    docs = make(texts).withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names}).withColumn("kept", F.lit(5))
+    rows = measure(docs).collect()
+    assert all(x[n] == f"{n}{x.doc_id}" for x in rows for n in names) and {x.kept for x in rows} == {True, False}
+    op6(make(texts)).collect()
+    began = time.time()
+    op6(make(texts)).collect()
+    plain = time.time() - began
+    began = time.time()
+    assert op6(make(texts)).where("kept and n_dup_lines = 0").count() == 50
+    assert time.time() - began < 5 * plain + 5
