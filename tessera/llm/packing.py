@@ -35,12 +35,12 @@ VOCABULARY = "byte_bpe_50k.json"
 WINDOW, CLOSING = 1024, 0
 
 
-def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens: full windows of each document, and the rest."""
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe.load(path, pattern)
+        bpe = _bpe.load(path)
         close = np.array([CLOSING], "<u4").tobytes()
         for batch in batches:
             row, start, length, crc, total = [], [], [], [], []
