@@ -7,12 +7,15 @@ gradient descent in numpy.  A fifth of the sample sets a temperature, so that
 the score is a calibrated probability, and the rejection threshold, which all
 but `REJECTED` of the right predictions pass.
 
-Training takes a hash sample of about `SAMPLE` documents for each language
-(documented bound), of which the executors send counts of n-grams, not texts.
-The model that predicts is one table, buckets x languages: embeddings times
-softmax weights.
-
-Defined cases.  Null text, or one without a letter: `und`, score 0.  Null lang:
+Training takes a hash sample of at most `SAMPLE` documents for each of the
+`LANGUAGES` most frequent values of lang, each up to `LONGEST` bytes long and
+`SAMPLE_BYTES` in all (documented bounds), of which the executors send counts of
+n-grams, not texts.  Equal rows are sampled once.  The model that predicts is one
+table, buckets x languages: embeddings times softmax weights; a text's n-grams
+are summed language by language and `_SLICE` bytes at a time.
+
+Defined cases.  Null text, or one without a letter: `und`, score 0.  Very long
+texts: predicted whole, in slices.  Equal scores: the first language.  Null lang:
 not learned from.  Null doc_id: not held out.  Rows that repeat: a row out for
 each row in.  Nothing to learn from: `und` everywhere.  Empty table: empty
 result.  Other columns are ignored.
@@ -29,12 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import _words as W
-from tessera.llm._shared import held_out, uniform
+from tessera.llm._shared import bounded, held_out
 
-SAMPLE, REJECTED = 1000, 0.01
+#: Bounds of the sample: languages (the most frequent), documents of each, bytes of text in all, bytes of one text.
+LANGUAGES, SAMPLE, SAMPLE_BYTES, LONGEST = 256, 1000, 1 << 24, 1 << 18
+REJECTED = 0.01
 BUCKETS_BITS, GRAMS = 16, (2, 3)
 DIMENSIONS, EPOCHS, BATCH, RATE = 16, 6, 16, 4.0
 BUCKETS = 1 << BUCKETS_BITS
+#: Bytes of text whose n-grams are held at once.
+_SLICE = 1 << 19
 
 
 @dataclass
@@ -46,6 +53,14 @@ class Model:
     threshold: float
 
 
+def buckets(padded: np.ndarray, k: int) -> np.ndarray:
+    """The buckets of all k-grams of bytes (as uint32)."""
+    code = padded[: max(0, len(padded) - k + 1)].copy()
+    for s in range(1, k):
+        code |= padded[s : len(code) + s] << np.uint32(8 * s)
+    return (code * np.uint32(0x9E3779B1) + np.uint32(k * 0x85EBCA6B & 0xFFFFFFFF)) >> np.uint32(32 - BUCKETS_BITS)
+
+
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams of each text, and the offsets of texts in them.  Separators count as spaces; a text
     begins and ends with one."""
@@ -53,13 +68,8 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     padded = np.full(len(data) + n + 1, 0x20, np.uint32)
     where = np.arange(len(data)) + np.repeat(np.arange(1, n + 1), np.diff(offsets))
     padded[where] = np.where(W._SEPARATOR[data], 0x20, data)
-    out = []
-    for k in GRAMS:
-        code = padded[: max(0, len(padded) - k + 1)].copy()
-        for s in range(1, k):
-            code |= padded[s : len(code) + s] << np.uint32(8 * s)
-        # places that a k-gram has too few bytes for hold one over a text's end, of the last space and what follows
-        out.append((code * np.uint32(0x9E3779B1) + np.uint32(k * 0x85EBCA6B & 0xFFFFFFFF)) >> np.uint32(32 - BUCKETS_BITS))
+    # places that a k-gram has too few bytes for hold one over a text's end, of the last space and what follows
+    out = [buckets(padded, k) for k in GRAMS]
     starts = offsets[:-1] + np.arange(n)
     sizes = [np.maximum(np.diff(offsets) + 2 - k + 1, 0) for k in GRAMS]
     total = np.add.reduce(sizes)
@@ -74,6 +84,32 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return found, at
 
 
+def sums(table: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the sum of table rows over its n-grams, and their number; memory is bounded by `_SLICE` and the
+    number of texts, not by the longest one.  table: languages x buckets."""
+    n = len(offsets) - 1
+    out, count = np.zeros((n, len(table))), np.zeros(n)
+    for i, j in W.chunks(offsets, _SLICE):
+        own = data[offsets[i] : offsets[j]]
+        if len(own) <= 2 * _SLICE:
+            found, at = grams(own, offsets[i : j + 1] - offsets[i])
+            for k, row in enumerate(table):
+                out[i:j, k] = np.add.reduceat(row[found], at[:-1], dtype=np.float64)
+            count[i:j] = np.diff(at)
+            continue
+        # one long text: n-grams that start in a slice reach into the next
+        width = max(GRAMS)
+        for a in range(0, len(own) + 2, _SLICE):
+            piece = np.full(min(_SLICE + width - 1, len(own) + 2 - a), 0x20, np.uint8)
+            low, high = max(a, 1), min(a + len(piece), len(own) + 1)
+            piece[low - a : high - a] = np.where(W._SEPARATOR[own[low - 1 : high - 1]], 0x20, own[low - 1 : high - 1])
+            for g in GRAMS:
+                found = buckets(piece.astype(np.uint32), g)[:_SLICE]
+                out[i] += [row[found].sum(dtype=np.float64) for row in table]
+                count[i] += len(found)
+    return out, count
+
+
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = W.texts_of(batch.column(1))
@@ -88,12 +124,13 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sample(docs: DataFrame) -> list[tuple[str, np.ndarray]]:
     pool = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
-    sizes = pool.groupBy("lang").count().collect()  # a row for each language
+    pool = pool.select("lang", "text")
+    sizes = pool.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
     if not sizes:
         return []
-    share = F.coalesce(*[F.when(F.col("lang") == r.lang, SAMPLE / r["count"]) for r in sizes])
-    chosen = pool.where(uniform(F.coalesce("doc_id", F.lit(0)), F.lit("l")) < share).select("lang", F.lower("text").alias("text"))
-    rows = chosen.mapInArrow(_sampled, "lang string, counts binary").collect()  # bounded: the sample
+    share = F.coalesce(*[F.when(F.col("lang") == r.lang, 2 * SAMPLE / r["count"]) for r in sizes])
+    chosen = bounded(pool, "text", share, SAMPLE, SAMPLE_BYTES, LONGEST, "lang")
+    rows = chosen.select("lang", F.lower("text").alias("text")).mapInArrow(_sampled, "lang string, counts binary").collect()  # bounded: the sample
     return [(lang, np.frombuffer(x, "<i4").reshape(2, -1)) for lang, x in sorted((r.lang, bytes(r.counts)) for r in rows)]
 
 
@@ -152,17 +189,17 @@ def fit(rows: list[tuple[str, np.ndarray]], seed: int = 7) -> Model | None:
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score and rejected (the score is below the model's threshold)."""
 
+    table = np.ascontiguousarray(model.table.T) if model else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = W.texts_of(batch.column(1))
             letters = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             best, top = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            if model:
-                for i, j in W.chunks(offsets):
-                    found, at = grams(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                    sums = np.add.reduceat(model.table[found], at[:-1], dtype=np.float64)
-                    p = _softmax((sums / np.diff(at)[:, None] + model.bias) / model.temperature)
-                    best[i:j], top[i:j] = p.argmax(1), p.max(1)
+            if model and batch.num_rows:
+                total, count = sums(table, data, offsets)
+                p = _softmax((total / count[:, None] + model.bias) / model.temperature)
+                best, top = p.argmax(1), p.max(1)
             known = letters & (model is not None)
             names = [*(model.languages if model else []), "und"]
             lang = pa.array(names).take(pa.array(np.where(known, best, len(names) - 1)))
