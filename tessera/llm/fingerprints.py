@@ -8,19 +8,25 @@ each local maximum.  Where a phrase starts depends on a few neighbours only, and
 its name is a hash of its content, so equal substrings get equal interior names
 at every level, wherever they stand.
 
-The fingerprint is a weighted one-permutation MinHash of the names of `LEVELS`
-levels, each weighted by the bytes it covers: `BINS` numbers of 32 bits in hex,
-zero where a bin is empty.  Likeness is the share of bins that agree, of those
-that either fills (two empty texts: 1).
+Parsing goes on until a text is one phrase.  The fingerprint is a weighted
+one-permutation MinHash of the names of all levels, each weighted by the bytes it
+covers, and `FADE` times less from one level to the next, as large phrases
+survive few edits: `BINS` numbers of 32 bits in hex, zero where a bin is empty.
+Likeness is the share of bins that agree, of those that either fills (two empty
+texts: 1).
 
 `op8` compares each document with an edit of itself that takes text from the
 next document.  Texts are dealt into ranges of doc_id and sorted there, so that
 the next document is the next row; the first document of a range also goes, as a
-guest, to the end of the range before.  That is one shuffle of the texts.
-
-Defined cases.  Null text: as empty.  Null doc_id: after all others.  Equal
-doc_ids: by text.  A single document is its own next.  Empty table: empty
-result.  Other columns are ignored.
+guest, to the end of the range before.  That is one shuffle of the texts.  A
+doc_id that many rows share, null among them, gets several ranges, cut by the
+hash of the text.  The driver sees a few rows for each range; the first documents
+of the ranges, one each, are joined as a small table.
+
+Defined cases.  Null text: as empty.  Very long texts: whole, in memory of one
+task.  Null doc_id: after all others.  Equal doc_ids: by the hash of the text.  A
+single document is its own next.  Empty table: empty result.  Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +43,7 @@ from pyspark.sql import functions as F
 from tessera.llm import _words as W
 from tessera.llm._shared import parts
 
-BINS, LEVELS = 64, 3
+BINS, FADE = 64, 2
 _RUN = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -81,19 +87,26 @@ def parse(symbols: np.ndarray, names: np.ndarray, weights: np.ndarray, offsets:
     return made, (np.add.reduceat(weights, cut) if len(cut) else weights), np.searchsorted(cut, offsets)
 
 
-def sketches(data: np.ndarray, offsets: np.ndarray, bins: int = BINS, levels: int = LEVELS) -> np.ndarray:
+def sketches(data: np.ndarray, offsets: np.ndarray, bins: int = BINS) -> np.ndarray:
     """A row of `bins` 32-bit numbers for each text data[offsets[d]:offsets[d + 1]]."""
     texts = len(offsets) - 1
     best = np.full(texts * bins, np.iinfo(np.uint64).max, np.uint64)
-    symbols, names, weights = data, W._BYTE_CODE[data], np.ones(len(data), np.float32)
-    for _ in range(levels):
+    symbols, names, weights, doc = data, W._BYTE_CODE[data], np.ones(len(data), np.float32), np.arange(texts)
+    scale = np.float32(1)
+    while len(names):
         names, weights, offsets = parse(symbols, names, weights, offsets)
         symbols = names
-        doc = np.repeat(np.arange(texts), np.diff(offsets))
         h = W.mix(names + _RUN)
-        draw = -np.log(((h >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 24)) / weights
+        draw = -np.log(((h >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 24)) / (weights * scale)
         rank = draw.astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32) | (names >> np.uint64(32)) | np.uint64(1)
-        np.minimum.at(best, doc * bins + (h % np.uint64(bins)).astype(np.int64), rank)
+        np.minimum.at(best, np.repeat(doc, np.diff(offsets)) * bins + (h % np.uint64(bins)).astype(np.int64), rank)
+        # texts of one phrase are done
+        size = np.diff(offsets)
+        more = size > 1
+        held = np.repeat(more, size)
+        names, weights, symbols = names[held], weights[held], symbols[held]
+        doc, offsets = doc[more], np.concatenate(([0], np.cumsum(size[more])))
+        scale /= np.float32(FADE)
     found = best.astype(np.uint32)
     found[best == np.iinfo(np.uint64).max] = 0
     return found.reshape(texts, bins)
@@ -156,28 +169,56 @@ def _beside_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, texts, guests, prints = ids[-1:], texts[-1:], guests[-1:], prints[-1:]
 
 
+def _ranges(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """About n ranges of (doc_id descending, nulls last, hash ascending), as cuts: a row belongs to range k if k cuts
+    are at or before it.  A cut is (doc_id, hash); hash None stands before all hashes.  Returns ids, hashes and the
+    number of cuts before the documents without doc_id."""
+    quantiles = F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 100 * n)
+    known, total, found = docs.agg(F.count("doc_id"), F.count("*"), quantiles).first()
+    ids, count = np.unique(np.array(found or [], np.int64), return_counts=True)
+    cuts: list[tuple[int, int]] = []
+    least = -(1 << 63)
+    for i, c in zip(ids[::-1].tolist(), count[::-1].tolist(), strict=True):
+        # a doc_id that is several quantiles holds so many n-ths of the rows
+        slices = c + 1 if c > 1 else 1
+        cuts += [(i, least + (1 << 64) * k // slices) for k in range(slices)]
+    nulls = max(1, round(n * (total - known) / max(1, total)))
+    return np.array([c[0] for c in cuts], np.int64), np.array([c[1] for c in cuts] + [least + (1 << 64) * k // nulls for k in range(nulls)], np.int64), len(cuts)
+
+
 def beside_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document and of its edit, with their likeness, and that to the next document."""
-    docs = docs.select("doc_id", "text")
     n, kind = parts(docs.sparkSession), dict(docs.dtypes)["doc_id"]
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 100 * n)).first()[0] or []
-    bounds = np.unique(np.array(cuts, np.int64))[::-1] if n > 1 else np.empty(0, np.int64)
-    last = len(bounds) + 1
+    docs = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    ids, hashes, known = _ranges(docs, n)
+    first = np.flatnonzero(np.diff(ids, prepend=ids[:1] + 1)) if len(ids) else ids
+    last = np.append(first[1:], len(ids))
 
     @F.pandas_udf("int")
-    def range_of(x: pd.Series) -> pd.Series:
-        return pd.Series(last - 1 - np.searchsorted(bounds[::-1], x.to_numpy(np.int64), "right"), dtype="int32")
-
-    docs = docs.withColumn("range", F.when(F.col("doc_id").isNull(), last).otherwise(range_of(F.coalesce("doc_id", F.lit(0).cast(kind)))))
-    heads = sorted(map(tuple, docs.groupBy("range").agg(F.max("doc_id")).collect()))  # a row for each range
-    to = {heads[(k + 1) % len(heads)][1]: heads[k][0] for k in range(len(heads))}
+    def range_of(doc_id: pd.Series, h: pd.Series, null: pd.Series) -> pd.Series:
+        x, at = doc_id.to_numpy(np.int64), h.to_numpy(np.int64)
+        block = len(first) - np.searchsorted(ids[first][::-1], x, "right")  # blocks of larger ids before
+        out = np.append(first, len(ids))[block]
+        own = np.flatnonzero((block < len(first)) & (ids[first][np.minimum(block, max(0, len(first) - 1))] == x)) if len(first) else []
+        for b in np.unique(block[own]) if len(own) else []:
+            rows = own[block[own] == b]
+            out[rows] = first[b] + np.searchsorted(hashes[first[b] : last[b]], at[rows], "right")
+        gone = null.to_numpy(bool)
+        out[gone] = known + np.searchsorted(hashes[known:], at[gone], "right")
+        return pd.Series(out, dtype="int32")
+
+    docs = docs.withColumn("range", range_of(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "h", F.col("doc_id").isNull()))
+    # the first of each range: the largest doc_id, if any, and of that the least hash
+    order = F.struct(F.col("doc_id").isNull().alias("no"), (-F.col("doc_id").cast("decimal(20,0)")).alias("id"), F.col("h"))
+    heads = sorted(map(tuple, docs.groupBy("range").agg(F.min(order).alias("o")).select("range", F.col("o.id").cast("string"), "o.h").collect()))  # a row for each range
     spread = docs.withColumn("guest", F.lit(False))
     if heads:
-        target = F.coalesce(*[F.when(F.col("doc_id").eqNullSafe(F.lit(i).cast(kind)), r) for i, r in to.items()])
-        some = [i for i in to if i is not None]
-        picked = F.col("doc_id").isin(some) | (F.col("doc_id").isNull() if None in to else F.lit(False))
-        spread = spread.union(docs.where(picked).select("doc_id", "text", target.alias("range"), F.lit(True).alias("guest")))
-    spread = spread.repartitionById(last + 1, F.col("range")).sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), "text")
+        to = [(heads[k - 1][0], None if heads[k][1] is None else -int(heads[k][1]), heads[k][2]) for k in range(len(heads))]
+        small = F.broadcast(docs.sparkSession.createDataFrame(to, "to int, id long, head long"))  # a row for each range
+        guests = docs.join(small, F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("h") == F.col("head")))
+        guests = guests.groupBy("to").agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text"), F.first("h").alias("h"))
+        spread = spread.union(guests.select(F.col("doc_id"), "text", "h", F.col("to"), F.lit(True)))
+    spread = spread.repartitionById(len(hashes) + 1, F.col("range")).sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), "h", "text")
     return spread.select("doc_id", "text", "guest").mapInArrow(_beside_next, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
