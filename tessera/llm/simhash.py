@@ -5,14 +5,21 @@ Fingerprint: texts are lower-cased (A-Z) and cut into words; every shingle of
 half of the votes.  Fewer words than that: the whole sequence is the one
 shingle; none: fingerprint zero, linked like any other.
 
-Search: a fingerprint is cut into segments of 22, 22 and 20 bits.  If two differ
-in 4 bits at most, then they differ in at most one bit of the first or of the
-second segment, or in none of the third.  So the Hamming balls of radius 1, 1
-and 0 around the segments are enumerated, each pair once (a ball holds the
-values with one bit cleared: of two that differ in one bit, one has it set), the
-tables of the segments are looked up, and complete distances verify each match.
-Only different fingerprints are searched; equal ones are grouped before, with
-map-side combining, so that no group of exact copies is ever expanded.
+Search: a fingerprint is cut into segments, and each table is looked up by the
+bits of one segment or of several together.  Up to 2**24 different fingerprints
+there are three segments of 22, 21 and 21 bits: if two fingerprints differ in 4
+bits at most, then they differ in at most one bit of the first or of the second,
+or in none of the third.  So the Hamming balls of radius 1, 1 and 0 around the
+segments are enumerated, each pair once (a ball holds the values with one bit
+cleared: of two that differ in one bit, one has it set), the tables are looked
+up, and complete distances verify each match.  More fingerprints would crowd
+tables of 2**22 places, so `tables` takes wider keys for them: of m segments, m - 4
+at least are the same in both, so that a table for each choice of m - 4 segments,
+with balls of radius 0, misses none.  m follows from their number: a key has as
+many bits as the number has, so that a bucket of strangers stays small at any
+size.  All sizes give the same links.  Only different fingerprints are searched;
+equal ones are grouped before, with map-side combining, so that no group of exact
+copies is ever expanded.
 
 A bucket is searched by growing its components: what a member reaches is not
 compared with it again, so a dense group of g near copies gives g - 1 links, not
@@ -20,7 +27,7 @@ g * g / 2.  Buckets with more than `BLOCK` fingerprints are split into pairs of
 blocks, which go to different tasks.  Links are joined into components by star
 contraction (components.py); neither links nor fingerprints reach the driver.
 
-Defined cases.  Null text: as empty.  Null doc_id: counts for no component_id
+Defined cases.  Null text: as empty.  Very long texts: whole, a text at a time.  Null doc_id: counts for no component_id
 (null if a component has no other).  Rows that repeat: one group.  Empty table:
 empty result.  Other columns are ignored by `fingerprints`.
 """
@@ -28,6 +35,7 @@ empty result.  Other columns are ignored by `fingerprints`.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +47,11 @@ from tessera.llm._shared import parts, settled
 from tessera.llm.components import components
 
 WORDS, SEED, DISTANCE = 4, 42, 4
-#: Lowest bit, width and ball radius of each segment; the radii + 1 sum up to DISTANCE + 1.
-SEGMENTS = ((0, 22, 1), (22, 22, 1), (44, 20, 0))
 #: Fingerprints of a bucket that are compared in one task.
 BLOCK = 100_000
+#: Up to so many fingerprints of a bucket are compared by shifts, more by growing; the links join the same ones.
 _SMALL = 64
+_BITS = 64
 
 
 def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
@@ -78,15 +86,41 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
 
 
-def probes(prints: DataFrame) -> DataFrame:
-    """(key, fp): the segment values that a fingerprint is stored under and looks up."""
+def _segments(m: int) -> list[int]:
+    """Masks of m segments of about equal width, the lower ones first."""
+    edges = [-(-_BITS * k // m) for k in range(m + 1)]
+    return [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def tables(n: int, distance: int = DISTANCE) -> list[tuple[int, int]]:
+    """(mask, radius) of the tables for n fingerprints: two that differ in `distance` bits at most differ in at most
+    `radius` bits of at least one mask."""
+    if n <= 1 << 24:
+        m = (distance + 2) // 2
+        # the radii plus one sum up to distance + 1: an odd rest makes the last one 0
+        radii = [1] * m
+        radii[-1] -= 2 * m - distance - 1
+        return list(zip(_segments(m), radii, strict=True))
+    m = distance + 2
+    while m < 16 and _BITS * (m - distance) / m < n.bit_length():
+        m += 1
+    return [(sum(some), 0) for some in combinations(_segments(m), m - distance)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def probes(prints: DataFrame, masks: list[tuple[int, int]]) -> DataFrame:
+    """(key, fp): the table places that a fingerprint is stored under and looks up."""
     kinds = []
-    for k, (low, width, radius) in enumerate(SEGMENTS):
-        value = f"(shiftrightunsigned(fp, {low}) & {(1 << width) - 1}L)"
-        kinds.append(F.expr(f"array({value} + {k << 32}L)"))
+    for k, (mask, radius) in enumerate(masks):
+        value = F.col("fp").bitwiseAND(F.lit(_signed(mask)))
+        kinds.append(F.array(F.xxhash64(F.lit(k), value)))
         if radius:
-            bits = f"filter(transform(sequence(0, {width - 1}), j -> shiftleft(1L, j)), bit -> ({value} & bit) <> 0)"
-            kinds.append(F.expr(f"transform({bits}, bit -> {value} - bit + {k << 32}L)"))
+            bits = F.array(*[F.lit(_signed(1 << b)) for b in range(_BITS) if mask >> b & 1])
+            set_ = F.filter(bits, lambda bit: value.bitwiseAND(bit) != 0)
+            kinds.append(F.transform(set_, lambda bit: F.xxhash64(F.lit(k), value.bitwiseXOR(bit))))
     return prints.select("fp", F.explode(F.concat(*kinds)).alias("key"))
 
 
@@ -151,10 +185,10 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made(key, fp)
 
 
-def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
+def links(prints: DataFrame, masks: list[tuple[int, int]], block: int = BLOCK) -> DataFrame:
     """(a, b): links between different fingerprints, enough of them to give the components of all links.
     prints: fp, each once."""
-    rows = probes(prints)
+    rows = probes(prints, masks)
     hot = settled(rows.groupBy("key").count().where(F.col("count") > block))
     if not hot.isEmpty():
         n = F.coalesce(F.ceil(F.col("count") / block), F.lit(1)).cast("long")
@@ -171,7 +205,7 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
 def near_components(prints: DataFrame) -> DataFrame:
     """doc_id, fp, component_id of rows (doc_id, fp)."""
     each = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    tree = components(links(each.select("fp")))
+    tree = components(links(each.select("fp"), tables(each.count())))
     roots = each.join(tree, each.fp == tree.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     named = settled(roots.groupBy("root").agg(F.min("least").alias("component_id")))  # so that AQE can split a hot root
     named = roots.join(named, "root").select("fp", "component_id")

@@ -50,9 +50,11 @@ def test_op(make, prose):
     assert dict((r.doc_id, r.component_id) for r in rows) == dict(closure((i, plain(t)) for i, t in enumerate(texts)))
 
 
-@pytest.mark.parametrize("block", [10**6, 20])
-def test_links_lose_nothing(spark, block, monkeypatch):
+@pytest.mark.parametrize("block, size", [(10**6, 10), (20, 10), (10**6, 1 << 25), (20, 1 << 28), (10**6, 1 << 33)])
+def test_links_lose_nothing(spark, block, size, monkeypatch):
+    """With the tables of a few fingerprints, and with those of very many."""
     r = random.Random(block)
+    monkeypatch.setattr(simhash, "tables", lambda n, of=simhash.tables: of(size))
     prints = []
     for _ in range(60):
         centre = r.getrandbits(64)
@@ -68,6 +70,19 @@ def test_links_lose_nothing(spark, block, monkeypatch):
     assert {x.doc_id: x.component_id for x in near_components(df).collect()} == dict(closure(rows))
 
 
+def test_tables_miss_no_distance():
+    """Whatever four bits differ, one table's mask holds at most its radius of them; masks widen with the number."""
+    r = random.Random(7)
+    widths = []
+    for n in (1, 1 << 24, (1 << 24) + 1, 1 << 28, 1 << 31, 1 << 34, 1 << 40):
+        made = simhash.tables(n)
+        widths.append(min(m.bit_count() for m, _ in made))
+        for _ in range(3000):
+            differ = sum(1 << b for b in r.sample(range(64), 4))
+            assert any((differ & m).bit_count() <= radius for m, radius in made)
+    assert widths == sorted(widths) and widths[0] >= 20 and widths[-1] >= 38
+
+
 def test_null_ids_and_empty(make):
     rows = op4(make(["a b c d e", "a b c d e", None], [None, 3, None])).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [(-1, -1), (-1, 3), (3, 3)]
