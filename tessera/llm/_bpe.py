@@ -106,6 +106,8 @@ class Bpe:
         self.tokens: list[bytes] = [b""] * size
         for token, i in ranks.items():
             self.tokens[i] = token
+        #: What holds an id between tasks.
+        self.width = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self._find = regex.compile(PATTERN).findall
         encoding = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._ids = _Memo(encoding._core_bpe.encode_single_piece)

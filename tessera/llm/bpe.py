@@ -76,20 +76,21 @@ def _coded(path: str):
                 some = batch.slice(i, _ROWS)
                 made = [bpe.chunk(t.as_py(), *x) for t, *x in zip(some.column("text"), some.column("lead").to_pylist(), some.column("after").to_pylist(), strict=True)]
                 start = np.array(some.column("start").to_pylist(), np.int64)
-                columns = {"ids": pa.array([m[0] for m in made], pa.binary()), "seam": pa.array(start + [m[1] for m in made], pa.int64())}
-                columns |= {"heads": pa.array([[int(s) + x for x in m[2]] for s, m in zip(start, made, strict=True)], pa.list_(pa.int64())), "before": pa.array([m[3] for m in made], pa.list_(pa.int32()))}
+                ids = [np.frombuffer(m[0], "<u4").astype(bpe.width).tobytes() for m in made]
+                heads = [np.array([m[2], m[3]], "<u4").tobytes() for m in made]
+                columns = {"ids": pa.array(ids, pa.binary()), "seam": pa.array(start + [m[1] for m in made], pa.int64()), "start": some.column("start"), "heads": pa.array(heads, pa.binary())}
                 yield pa.RecordBatch.from_pydict({c: some.column(c) for c in (*_KEY, "k")} | columns)
 
     return run
 
 
-def _stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, bytes | None, int]]:
+def _stitched(batches: Iterator[pa.RecordBatch], width: np.dtype) -> Iterator[tuple[object, bytes | None, int]]:
     """For chunks in order of key and k: (doc_id, ids of a piece, 0) for each, then (doc_id, None, copies of the row)."""
     now, last, seam, copies = None, -1, 0, 0
     for batch in batches:
-        columns = [batch.column(c) for c in (*_KEY, "k", "seam", "heads", "before", "ids")]
+        columns = [batch.column(c) for c in (*_KEY, "k", "seam", "start", "heads", "ids")]
         for row in zip(*columns, strict=True):
-            *key, k, end = (x.as_py() for x in row[:5])
+            *key, k, end, start = (x.as_py() for x in row[:6])
             if key != now:
                 if copies:
                     yield now[0], None, copies
@@ -97,8 +98,9 @@ def _stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, bytes
             copies += k == 0
             if k == last:
                 continue  # of an equal row
-            drop = row[6].as_py()[row[5].as_py().index(seam)]
-            yield key[0], row[7].as_py()[4 * drop :], 0
+            places, before = np.frombuffer(row[6].as_py(), "<u4").reshape(2, -1)
+            drop = int(before[places.tolist().index(seam - start)])
+            yield key[0], np.frombuffer(row[7].as_py(), width)[drop:].astype("<u4").tobytes(), 0
             last, seam = k, end
     if copies:
         yield now[0], None, copies
@@ -112,7 +114,7 @@ def _long_or_short(docs: DataFrame, chunk: int, overlap: int, path: str, whole:
     cut = docs.where(more).select("doc_id", F.xxhash64("text").alias("hash"), "text")
     cut = cut.mapInArrow(_cut(chunk, overlap), f"doc_id {kind}, hash long, part int, k int, start long, lead int, after int, text string")
     n = parts(docs.sparkSession)
-    coded = cut.repartition(n, *_KEY, "k").mapInArrow(_coded(path), f"doc_id {kind}, hash long, part int, k int, ids binary, seam long, heads array<long>, before array<int>")
+    coded = cut.repartition(n, *_KEY, "k").mapInArrow(_coded(path), f"doc_id {kind}, hash long, part int, k int, ids binary, seam long, start long, heads binary")
     return short.union(coded.repartition(n, *_KEY).sortWithinPartitions(*_KEY, "k").mapInArrow(gather, row))
 
 
@@ -138,7 +140,7 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = _bpe.CHUNK, ov
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
-        for doc_id, ids, copies in _stitched(batches):
+        for doc_id, ids, copies in _stitched(batches, _bpe.load(path).width):
             if ids is not None:
                 held.append(ids)
                 continue
@@ -203,7 +205,7 @@ def digests(docs: DataFrame, path: str | None = None, chunk: int = _bpe.CHUNK, o
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe.load(path)
         digest, ids, rows = _Digest(bpe), [], []
-        for doc_id, piece, copies in _stitched(batches):
+        for doc_id, piece, copies in _stitched(batches, bpe.width):
             if piece is not None:
                 digest.add(piece)
                 continue
