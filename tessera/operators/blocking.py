@@ -17,10 +17,12 @@ REFERENCE_ROWS = 272_474
 
 @dataclass(frozen=True)
 class BlockConfig:
-    max_cluster: int = 500
+    """Cut-offs.  max_cluster and rare_tokens may be None: no cap."""
+
+    max_cluster: int | None = 500
     rare_max_df: int = 10
     addr_max_df: int = 50
-    rare_tokens: int = 6
+    rare_tokens: int | None = 6
     min_df: int = 3
     max_df: int = 1500
     k: int = 50
@@ -31,7 +33,9 @@ class BlockConfig:
         return BlockConfig(self.max_cluster, max(2, round(self.rare_max_df * x)), max(2, round(self.addr_max_df * x)), self.rare_tokens, self.min_df, max(self.min_df, round(self.max_df * x)), self.k)
 
 
-def _capped(rows: DataFrame, cap: int) -> DataFrame:
+def _capped(rows: DataFrame, cap: int | None) -> DataFrame:
+    if cap is None:
+        return rows
     w = Window.partitionBy("country", "key").orderBy("tid")
     return rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= cap).drop("rn")
 
@@ -93,7 +97,9 @@ def _rare_found(queries: DataFrame, postings: DataFrame, cfg: BlockConfig) -> Da
     """Pairs that share one of the query's rarest tokens; a token repeated in the query counts as often."""
     df = postings.select("country", "key", "df").distinct()
     rarest = Window.partitionBy("sid").orderBy("df", "key")
-    q = name_tokens(queries, "sid").join(df, ["country", "key"]).withColumn("rn", F.row_number().over(rarest)).where(F.col("rn") <= cfg.rare_tokens)
+    q = name_tokens(queries, "sid").join(df, ["country", "key"])
+    if cfg.rare_tokens is not None:
+        q = q.withColumn("rn", F.row_number().over(rarest)).where(F.col("rn") <= cfg.rare_tokens)
     q = q.groupBy("sid", "country", "key").agg(F.count("*").alias("times"))
     found = q.join(postings.drop("df"), ["country", "key"]).groupBy("sid", "tid").agg(F.sum("times").alias("n_rare_shared"))
     return pairs(found, "rare")
@@ -120,3 +126,29 @@ def look_up(queries: DataFrame, postings: dict[str, DataFrame], cfg: BlockConfig
 
 def join_blocks(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
     return look_up(queries, postings_of(targets, cfg), cfg)
+
+
+def left_out(targets: DataFrame, cfg: BlockConfig) -> DataFrame:
+    """Rows (rule, keys, postings): what the caps and frequency windows of the posting tables leave out."""
+
+    def sizes(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("country", "key").agg(F.count("*").alias("df"))
+
+    name, ss = (sizes(targets.where(F.col(c) != "").select("country", F.col(c).alias("key"))) for c in ("name_norm", "name_ss"))
+    street = sizes(targets.where((F.col("street_num") != "") & (F.length("street_num") <= 6)).select("country", F.col("street_num").alias("key")))
+    token = sizes(name_tokens(targets, "tid"))
+    long = targets.where(F.length("street_num") > 6).select(F.col("street_num").alias("key"), F.lit(1).alias("over"))
+    over = lambda d: d.withColumn("over", F.greatest(F.col("df") - F.lit(cfg.max_cluster), F.lit(0)) if cfg.max_cluster is not None else F.lit(0))
+    rules = {
+        "name_cluster": over(name),
+        "ss_cluster": over(ss),
+        "street_too_long": long,
+        "street_frequent": street.withColumn("over", F.when(F.col("df") > cfg.addr_max_df, F.col("df")).otherwise(0)),
+        "token_single": token.withColumn("over", F.when(F.col("df") < 2, F.col("df")).otherwise(0)),
+        "token_frequent": token.withColumn("over", F.when(F.col("df") > cfg.rare_max_df, F.col("df")).otherwise(0)),
+    }
+    out = None
+    for rule, rows in rules.items():
+        row = rows.where("over > 0").agg(F.lit(rule).alias("rule"), F.count("*").alias("keys"), F.coalesce(F.sum("over"), F.lit(0)).cast("long").alias("postings"))
+        out = row if out is None else out.union(row)
+    return out

@@ -63,3 +63,13 @@ def development_sample(queries: DataFrame, targets: DataFrame, links: DataFrame,
 def sample_by_hash(rows: DataFrame, by: str, n: int, seed: int = 42) -> DataFrame:
     """n rows that do not depend on the layout."""
     return rows.withColumn("h", F.md5(F.concat(F.col(by).cast("string"), F.lit(f"-{seed}")))).orderBy("h", by).limit(n).drop("h")
+
+
+def sample_report(queries: DataFrame, second: DataFrame, third: DataFrame, lists: DataFrame) -> DataFrame:
+    """Rows (what, key, n) about a sample: rows of each source, queries by country, queries by number of links, links.
+    lists: source1_entity_id, ids."""
+    rows = lambda what, d, key: d.groupBy(key.cast("string").alias("key")).agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "key", "n")
+    out = rows("country", queries, F.col("country")).union(rows("n_matches", lists, F.size("ids")))
+    for name, d in (("source1", queries), ("source2", second), ("source3", third)):
+        out = out.union(d.agg(F.count("*").alias("n")).select(F.lit("rows"), F.lit(name), "n"))
+    return out.union(lists.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n")).select(F.lit("links"), F.lit("all"), "n"))

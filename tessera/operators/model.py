@@ -11,14 +11,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def train(rows: DataFrame, features: tuple[str, ...], trees: int = 20, depth: int = 5, rate: float = 0.2, seed: int = 42, linear: bool = False) -> PipelineModel:
-    """rows: features, label and is_val (the fold that stops boosting early)."""
+def train(rows: DataFrame, features: tuple[str, ...], trees: int = 60, depth: int = 6, rate: float = 0.05, seed: int = 42, linear: bool = False, leaf: int = 50, patience: int = 50) -> PipelineModel:
+    """rows: features, label and is_val (the fold that stops boosting early).  leaf: the least rows of one.  patience:
+    rounds without a gain on that fold after which the best number of trees is kept (0: all are)."""
     vector = VectorAssembler(inputCols=list(features), outputCol="features")
     rows = rows.withColumn("label", F.col("label").cast("double"))
     if linear:
         return Pipeline(stages=[vector, LogisticRegression(regParam=1e-3)]).fit(rows.where("not is_val"))
-    gbt = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.85, featureSubsetStrategy="0.9", minInstancesPerNode=5, validationIndicatorCol="is_val", seed=seed)
-    return Pipeline(stages=[vector, gbt]).fit(rows)
+
+    def boosted(n: int) -> PipelineModel:
+        gbt = GBTClassifier(maxIter=n, maxDepth=depth, stepSize=rate, subsamplingRate=0.85, featureSubsetStrategy="0.9", minInstancesPerNode=leaf, seed=seed)
+        return Pipeline(stages=[vector, gbt]).fit(rows.where("not is_val"))
+
+    fitted = boosted(trees)
+    val = vector.transform(rows.where("is_val")).select("features", "label")
+    if patience and not val.isEmpty():
+        best = best_round(fitted.stages[-1].evaluateEachIteration(val), patience)
+        if best < trees:
+            fitted = boosted(best)  # the same first trees, as each round has a seed of its own
+    return fitted
+
+
+def best_round(losses: list[float], patience: int) -> int:
+    """The round (from 1) of least loss before the first run of `patience` rounds without a gain."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
 
 
 def features_of(model: PipelineModel) -> list[str]:

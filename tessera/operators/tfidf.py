@@ -1,17 +1,35 @@
-"""Sparse TF-IDF retrieval inside each country, as joins and aggregates over (country, token).
-
-Vocabulary, idf and norms come from the targets alone.  Scores are rounded before
-they are ranked, and ties go to the smaller tid, so that the order of additions
-never shows.  The frequency window bounds every posting list.
+"""Sparse TF-IDF retrieval inside each country.
+
+Vocabulary, idf and norms are joins and aggregates over (country, token); they
+come from the targets alone.  Scores are rounded before they are ranked, and ties
+go to the smaller tid, so that the order of additions never shows.
+
+The products are made block by block.  As a join on the token they would be one
+row for each token that a query and a target share, shuffled before any could be
+dropped, and a frequent token's key would hold all its queries times all its
+targets.  Instead the targets of a country are dealt into blocks and its queries
+into chunks; each meeting of a block and a chunk is a group of narrow rows,
+sorted, in which the block becomes posting lists and the queries stream by.  A
+group gives up its K best for each query, so that K rows a query and block are
+all that is ranked again.  No result is lost: the K best of all are among the K
+best of each block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.blocking import BlockConfig, pairs
 
+#: Targets of a block and queries of a chunk; cells of the score table that a worker holds at once.
+BLOCK, CHUNK, CELLS = 50_000, 50_000, 1 << 22
+
 
 def term_counts(rows: DataFrame, of: str) -> DataFrame:
     text = F.trim(F.concat("name_tok", F.lit(" "), "addr_tok"))
@@ -40,12 +58,106 @@ def topk(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
     return nearest(queries, vocab, weights(targets, "tid", vocab), cfg)
 
 
+class _Postings:
+    """The targets of a block by token."""
+
+    def __init__(self, tid: np.ndarray, token: pa.Array, w: np.ndarray):
+        coded = token.dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(code, kind="stable")
+        self.tokens = coded.dictionary
+        self.tids, at = np.unique(tid, return_inverse=True)
+        self.at, self.w = at[order], w[order]
+        self.first = np.searchsorted(code[order], np.arange(len(self.tokens) + 1))
+
+    def best(self, sid: np.ndarray, token: pa.Array, qw: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(sid, tid, score) of the k best targets of each query; rows of one query stand together."""
+        code = pc.index_in(token, value_set=self.tokens).fill_null(-1).to_numpy(zero_copy_only=False)
+        known = code >= 0
+        sid, code, qw = sid[known], code[known], qw[known]
+        edge = np.append(np.flatnonzero(np.diff(sid, prepend=sid[:1] - 1)), len(sid))
+        step, width = max(1, CELLS // len(self.tids)), len(self.tids)
+        for i in range(0, len(edge) - 1, step):
+            a, b = edge[i], edge[min(i + step, len(edge) - 1)]
+            own = np.searchsorted(edge, np.arange(a, b), "right") - 1 - i
+            size = self.first[code[a:b] + 1] - self.first[code[a:b]]
+            row = np.repeat(np.arange(b - a), size)
+            post = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.first[code[a:b]], size)
+            score = np.bincount(own[row] * width + self.at[post], qw[a:b][row] * self.w[post])
+            cell = np.flatnonzero(score)
+            score = np.round(score[cell], 6)
+            cell, score = cell[score > 0], score[score > 0]
+            query, tid = cell // width, self.tids[cell % width]
+            order = np.lexsort((tid, -score, query))
+            query, tid, score = query[order], tid[order], score[order]
+            rank = np.arange(len(query)) - np.searchsorted(query, query)
+            yield sid[edge[i + query]][rank < k], tid[rank < k], score[rank < k]
+
+
+def _products(k: int):
+    """Rows (country, block, chunk, kind, id, token, w) in this order, targets (kind 0) before queries (kind 1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, index, late = None, [], None, None
+
+        def columns(rows: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+            return rows.column("id").to_numpy(), rows.column("token"), rows.column("w").to_numpy()
+
+        def found(rows: pa.Table | pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for sid, tid, score in index.best(*columns(rows), k):
+                yield pa.RecordBatch.from_arrays([pa.array(sid), pa.array(tid), pa.array(score)], names=["sid", "tid", "tfidf_score"])
+
+        for batch in batches:
+            keys = [batch.column(c).dictionary_encode().indices.to_numpy(zero_copy_only=False) for c in ("country", "block", "chunk", "kind")]
+            new = np.logical_or.reduce([np.diff(x, prepend=x[:1]) != 0 for x in keys])
+            edge = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                if a == b:
+                    continue
+                rows = batch.slice(a, b - a)
+                group, kind = [rows.column(c)[0].as_py() for c in ("country", "block", "chunk")], rows.column("kind")[0].as_py()
+                if group != now:
+                    if late is not None:
+                        yield from found(late)
+                    now, held, index, late = group, [], None, None
+                if kind == 0:
+                    held.append(rows)
+                elif held:
+                    if index is None:
+                        index = _Postings(*(x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in columns(pa.Table.from_batches(held).combine_chunks().to_batches()[0])))
+                    if late is not None:
+                        rows = pa.Table.from_batches([late, rows]).combine_chunks().to_batches()[0]
+                    # the last query may go on in the next batch
+                    sid = rows.column("id").to_numpy()
+                    cut = int(np.searchsorted(sid, sid[-1]))
+                    if cut:
+                        yield from found(rows.slice(0, cut))
+                    late = rows.slice(cut)
+        if late is not None:
+            yield from found(late)
+
+    return run
+
+
 def nearest(queries: DataFrame, vocab: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
     """topk from a vocabulary and the weights of the targets, as kept from an earlier run."""
-    q = weights(queries, "sid", vocab).withColumnRenamed("w", "qw")
-    scores = q.join(targets, ["country", "token"]).groupBy("sid", "tid").agg(F.round(F.sum(F.col("qw") * F.col("w")), 6).alias("tfidf_score"))
+    q = weights(queries, "sid", vocab)
+    # how many blocks and chunks a country needs, and chunks enough to give every task some
+    size = targets.groupBy("country").agg(F.approx_count_distinct("tid").alias("t")).join(q.groupBy("country").agg(F.approx_count_distinct("sid").alias("q")), "country")
+    tasks = 2 * int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = size.crossJoin(F.broadcast(size.agg(F.sum("q").alias("all"))))  # one row
+    size = size.withColumn("blocks", F.ceil(F.col("t") / BLOCK).cast("int"))
+    size = size.select("country", "blocks", F.greatest(F.ceil(F.col("q") / CHUNK), F.least(F.ceil(tasks * F.col("q") / F.col("all") / F.col("blocks")), F.ceil(F.col("q") / 64))).cast("int").alias("chunks"))
+    place = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    t = targets.join(size, "country").select("country", place("tid", "blocks").alias("block"), every("chunks").alias("chunk"), F.lit(0).alias("kind"), F.col("tid").alias("id"), "token", "w")
+    q = q.join(size, "country").select("country", every("blocks").alias("block"), place("sid", "chunks").alias("chunk"), F.lit(1).alias("kind"), F.col("sid").alias("id"), "token", "w")
+    group = ["country", "block", "chunk"]
+    rows = t.union(q).repartition(tasks, *group).sortWithinPartitions(*group, "kind", "id")
+    kinds = dict(queries.dtypes)["sid"], dict(targets.dtypes)["tid"]
+    scores = rows.mapInArrow(_products(cfg.k), "sid {}, tid {}, tfidf_score double".format(*kinds))
     rank = Window.partitionBy("sid").orderBy(F.col("tfidf_score").desc(), "tid")
-    return scores.where("tfidf_score > 0").withColumn("tfidf_rank", F.row_number().over(rank)).where(F.col("tfidf_rank") <= cfg.k)
+    return scores.withColumn("tfidf_rank", F.row_number().over(rank)).where(F.col("tfidf_rank") <= cfg.k)
 
 
 def tfidf_block(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:

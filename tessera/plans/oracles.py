@@ -71,6 +71,11 @@ def _set(x: str, separator: str = " ") -> str:
     return f"list_distinct(list_filter(string_split({x}, '{separator}'), lambda x: x <> ''))"
 
 
+def _scaled(at: int, n: str = "count(*)") -> str:
+    """A cut-off of the reference's size, in proportion to the number of targets (half to even)."""
+    return f"round_even({at} * ({n} / 272474.0), 0)::BIGINT"
+
+
 F05 = "CASE WHEN n_true = 0 THEN (n_pred = 0)::INT::DOUBLE WHEN n_pred = 0 OR tp = 0 THEN 0 ELSE 1.25 * (tp / n_pred) * (tp / n_true) / (0.25 * (tp / n_pred) + tp / n_true) END"
 TFIDF_TEXT = "list_filter(string_split_regex(trim(name_tok || ' ' || addr_norm), '\\s+'), lambda x: x <> '')"
 FLAGS = ("e_name", "e_ss", "rare", "addr", "tfidf")
@@ -87,12 +92,13 @@ e AS ({_normalised('raw')}),
 q AS (SELECT entity_id AS sid, * FROM e WHERE source_no = 1), t AS (SELECT entity_id AS tid, * FROM e WHERE source_no > 1),
 truth AS (
   SELECT DISTINCT a.doc_id AS sid, b.doc_id AS tid FROM documents a JOIN documents b ON a.lang = b.lang AND a.text = b.text WHERE a.doc_id % 3 = 0 AND b.doc_id % 3 > 0),
+cut AS (SELECT greatest({CFG.rare_max_df}, {_scaled(10)}) AS rare_max_df, greatest({CFG.addr_max_df}, {_scaled(50)}) AS addr_max_df, greatest({CFG.max_df}, {_scaled(1500)}) AS max_df FROM t),
 p_name AS ({_postings('name_norm')}), p_ss AS ({_postings('name_ss')}),
 p_addr AS (
   SELECT country, street_num AS key, tid FROM (SELECT *, count(*) OVER (PARTITION BY country, street_num) AS df FROM t WHERE street_num <> '' AND len(street_num) <= 6)
-  WHERE df <= {CFG.addr_max_df} QUALIFY row_number() OVER (PARTITION BY country, street_num ORDER BY tid) <= {CFG.max_cluster}),
+  WHERE df <= (SELECT addr_max_df FROM cut) QUALIFY row_number() OVER (PARTITION BY country, street_num ORDER BY tid) <= {CFG.max_cluster}),
 t_words AS (SELECT * FROM (SELECT country, tid, unnest(string_split(name_tok, ' ')) AS key FROM t) WHERE key <> ''),
-rare_df AS (SELECT country, key, count(*) AS df FROM t_words GROUP BY ALL HAVING count(*) BETWEEN 2 AND {CFG.rare_max_df}),
+rare_df AS (SELECT country, key, count(*) AS df FROM t_words GROUP BY ALL HAVING count(*) BETWEEN 2 AND (SELECT rare_max_df FROM cut)),
 p_rare AS (SELECT DISTINCT country, key, tid, df FROM t_words JOIN rare_df USING (country, key)),
 b_name AS (SELECT sid, tid FROM q JOIN p_name p ON q.country = p.country AND q.name_norm = p.key),
 b_ss AS (SELECT sid, tid FROM q JOIN p_ss p ON q.country = p.country AND q.name_ss = p.key),
@@ -107,7 +113,7 @@ tf_q AS (SELECT country, sid, token, count(*) AS tf FROM (SELECT country, sid, u
 vocab AS (
   SELECT v.country, token, df, cf, ln((1 + n)::DOUBLE / (1 + df)) + 1 AS idf
   FROM (SELECT country, token, count(*) AS df, sum(tf) AS cf FROM tf_t GROUP BY ALL) v JOIN (SELECT country, count(*) AS n FROM t GROUP BY ALL) USING (country)
-  WHERE df >= {CFG.min_df} AND cf BETWEEN {CFG.min_df} AND {CFG.max_df}),
+  WHERE df >= {CFG.min_df} AND cf BETWEEN {CFG.min_df} AND (SELECT max_df FROM cut)),
 w_t AS (SELECT country, tid, token, w / sqrt(sum(w * w) OVER (PARTITION BY country, tid)) AS w FROM (SELECT country, tid, token, (1 + ln(tf)) * idf AS w FROM tf_t JOIN vocab USING (country, token))),
 w_q AS (SELECT country, sid, token, w / sqrt(sum(w * w) OVER (PARTITION BY country, sid)) AS w FROM (SELECT country, sid, token, (1 + ln(tf)) * idf AS w FROM tf_q JOIN vocab USING (country, token))),
 topk AS (
@@ -171,6 +177,46 @@ SCALAR = f"""SELECT sid, tid, (name_norm = t_name_norm)::BIGINT AS n_exact, (nam
 _CAND = "sid, tid, e_name::BIGINT AS e_name, e_ss::BIGINT AS e_ss, rare::BIGINT AS rare, addr::BIGINT AS addr"
 _LEFT = "greatest({}, 1)"
 
+
+
+def _left_out() -> str:
+    sizes = {
+        "name_cluster": ("SELECT country, name_norm AS key FROM t WHERE name_norm <> ''", f"greatest(df - {CFG.max_cluster}, 0)"),
+        "ss_cluster": ("SELECT country, name_ss AS key FROM t WHERE name_ss <> ''", f"greatest(df - {CFG.max_cluster}, 0)"),
+        "street_too_long": ("SELECT tid AS country, street_num AS key FROM t WHERE len(street_num) > 6", "df"),
+        "street_frequent": ("SELECT country, street_num AS key FROM t WHERE street_num <> '' AND len(street_num) <= 6", "CASE WHEN df > (SELECT addr_max_df FROM cut) THEN df ELSE 0 END"),
+        "token_single": ("SELECT country, key FROM t_words", "CASE WHEN df < 2 THEN df ELSE 0 END"),
+        "token_frequent": ("SELECT country, key FROM t_words", "CASE WHEN df > (SELECT rare_max_df FROM cut) THEN df ELSE 0 END"),
+    }
+    return " UNION ALL ".join(f"SELECT '{rule}' AS rule, count(*) AS keys, coalesce(sum(over), 0)::BIGINT AS postings FROM (SELECT {over} AS over FROM (SELECT country, key, count(*) AS df FROM ({rows}) GROUP BY ALL)) WHERE over > 0" for rule, (rows, over) in sizes.items())
+
+
+def _faults() -> str:
+    """The faults are told by the last digits of the ids, rule by rule."""
+    lists = f", l AS ({_lists('cand')})"
+    own = "SELECT sid % 10 AS d, sid, n_ids FROM l"
+    counts = {
+        "missing_query": "count(*) FILTER (d = 4)",
+        "unknown_query": "count(*) FILTER (d = 6)",
+        "repeated_query": "count(*) FILTER (d = 5)",
+        "repeated_id": "count(*) FILTER (d = 2 AND n_ids > 0) + count(*) FILTER (d = 3) + coalesce(sum(n_ids) FILTER (d = 5), 0)",
+        "unknown_id": "count(*) FILTER (d = 1) + 2 * count(*) FILTER (d = 3)",
+        "match_not_candidate": "count(*) FILTER (d = 1) + 2 * count(*) FILTER (d = 3) + coalesce(sum(n_ids) FILTER (d = 6), 0)",
+    }
+    return f"{lists} " + " UNION ALL ".join(f"SELECT '{rule}' AS rule, ({n})::BIGINT AS violations FROM ({own})" for rule, n in counts.items())
+
+
+def _first(rows: str, n: int) -> str:
+    return f"SELECT * FROM ({rows}) ORDER BY md5(entity_id || '-{SEED}'), entity_id LIMIT {n}"
+
+
+#: The development split: queries with a link, without, with two or more; what they link to, and more of each source.
+DEV = f""", known AS (SELECT entity_id, source_no, country, (SELECT count(*) FROM truth WHERE truth.sid = entity_id) AS links FROM raw WHERE source_no = 1),
+chosen AS (SELECT DISTINCT entity_id, source_no, country FROM (SELECT * FROM ({_first("SELECT * FROM known WHERE links > 0", 20)})
+  UNION ALL SELECT * FROM ({_first("SELECT * FROM known WHERE links = 0", 10)}) UNION ALL SELECT * FROM ({_first("SELECT * FROM known WHERE links >= 2", 5)}))),
+linked AS (SELECT entity_id, source_no, country FROM raw WHERE source_no > 1 AND entity_id IN (SELECT tid FROM truth JOIN chosen ON sid = chosen.entity_id)),
+rest AS (SELECT entity_id, source_no, country FROM raw WHERE source_no > 1 AND entity_id NOT IN (SELECT entity_id FROM linked)),
+others AS (SELECT * FROM linked UNION ALL SELECT * FROM ({_first("SELECT * FROM rest WHERE source_no = 2", 15)}) UNION ALL SELECT * FROM ({_first("SELECT * FROM rest WHERE source_no = 3", 15)}))"""
 SELECTS = {
     "norm_name": "SELECT entity_id, name_norm, name_nchar::BIGINT AS name_nchar FROM e",
     "norm_name_suffix_stripped": "SELECT entity_id, name_ss FROM e",
@@ -212,20 +258,47 @@ SELECTS = {
     "pair_metrics": MICRO,
     "submission_score": f"SELECT * FROM (SELECT round(avg(f05), 6) AS macro_f05, count(*) AS n_s1, count(*) FILTER (n_true = 0) AS singletons, count(*) FILTER (n_true = 0 AND n_pred = 0) AS singletons_empty FROM by_match), ({MICRO})",
     "validate_output": "SELECT unnest(['missing_query', 'unknown_query', 'repeated_query', 'repeated_id', 'unknown_id', 'match_not_candidate']) AS rule, 0::BIGINT AS violations",
+    "truth_from_lists": "SELECT a.entity_id AS sid, b.entity_id AS tid FROM raw a JOIN raw b ON b.entity_id IN (a.entity_id + 1, a.entity_id + 2) WHERE a.source_no = 1 AND b.source_no > 1",
+    "tfidf_kept_index": "SELECT sid, tid, tfidf_score, tfidf_rank FROM topk",
+    "cut_postings": _left_out(),
+    "validate_faults": _faults(),
+    "match_lines": f"SELECT sid::VARCHAR AS source1_entity_id, matched_entity_ids FROM ({_lists('matched')})",
+    "entity_lines": "SELECT entity_id::VARCHAR AS entity_id, name AS business_name, address AS business_address, country FROM raw",
+    "dev_split": DEV + " SELECT entity_id, source_no, country FROM chosen UNION ALL SELECT entity_id, source_no, country FROM others",
+    "dev_split_report": DEV + """, n AS (SELECT entity_id, count(truth.tid) AS n FROM chosen LEFT JOIN truth ON truth.sid = entity_id GROUP BY ALL)
+      SELECT 'country' AS what, country AS key, count(*) AS n FROM chosen GROUP BY country UNION ALL SELECT 'n_matches', n::VARCHAR, count(*) FROM n GROUP BY n
+      UNION ALL SELECT 'rows', 'source1', count(*) FROM chosen UNION ALL SELECT 'rows', 'source2', count(*) FROM others WHERE source_no = 2
+      UNION ALL SELECT 'rows', 'source3', count(*) FROM others WHERE source_no = 3 UNION ALL SELECT 'links', 'all', coalesce(sum(n), 0)::BIGINT FROM n""",
     "dev_sample": f"SELECT entity_id, country FROM raw WHERE source_no = 1 ORDER BY md5(entity_id || '-{SEED}'), entity_id LIMIT 50",
 }
 
 
+#: The address is all that follows the name.
+WHOLE = BASE.replace("list_slice(w, 9, 24)", "list_slice(w, 9, len(w))")
+WHOLE_SELECTS = {
+    "norm_whole": "SELECT entity_id, name_norm, addr_norm, addr_num, addr_nchar::BIGINT AS addr_nchar FROM e",
+    "tfidf_vocab_whole": SELECTS["tfidf_vocab"],
+    "tfidf_topk_whole": SELECTS["tfidf_topk"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
     found = {name: f"{BASE}\n{select}" for name, select in SELECTS.items()}
+    found |= {name: f"{WHOLE}\n{select}" for name, select in WHOLE_SELECTS.items()}
     found["addr_meta"] = C + " SELECT c_custkey, addr_norm, unit_num, bldg_num, postal FROM c"
     found["street_number"] = C + " SELECT c_custkey, street_num FROM c"
     found["number_sets"] = f"SELECT id, {_numbers(_norm('text'))} AS numbers FROM (SELECT 'p' || page_id AS id, url AS text FROM pages UNION ALL SELECT 'c' || c_custkey, c_name FROM customer)"
-    found["stats_addr"] = C + f""", k AS (SELECT c_custkey AS tid, 'x' AS country, (street_num::INT % 40)::VARCHAR AS key FROM c), d AS (SELECT *, count(*) OVER (PARTITION BY key) AS df FROM k)
-      SELECT country, key, df, tid FROM d WHERE df <= {CFG.addr_max_df} QUALIFY row_number() OVER (PARTITION BY key ORDER BY tid) <= {CFG.max_cluster}"""
-    found["block_address"] = C + f""", k AS (SELECT c_custkey AS id, (street_num::INT % 400)::VARCHAR AS key FROM c),
-      d AS (SELECT *, count(*) OVER (PARTITION BY key) AS df FROM k WHERE id % 3 > 0)
-      SELECT s.id AS sid, d.id AS tid FROM k s JOIN d USING (key) WHERE s.id % 3 = 0 AND df <= {CFG.addr_max_df}"""
+    streets = """WITH c AS (SELECT c_custkey AS tid, 'x' AS country, trunc(abs(c_acctbal))::BIGINT::VARCHAR AS key FROM customer),
+      s AS (SELECT s_suppkey AS sid, 'x' AS country, trunc(abs(s_acctbal))::BIGINT::VARCHAR AS key FROM supplier),
+      """
+    streets += f"""p AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY country, key) AS df FROM c) WHERE df <= greatest({CFG.addr_max_df}, (SELECT {_scaled(50)} FROM c))
+      QUALIFY row_number() OVER (PARTITION BY country, key ORDER BY tid) <= {CFG.max_cluster})"""
+    found["stats_addr"] = streets + " SELECT country, key, df, tid FROM p"
+    found["block_address"] = streets + " SELECT sid, tid FROM s JOIN p USING (country, key)"
+    sizes = {"rare_max_df": 10, "addr_max_df": 50, "max_df": 1500}
+    cuts = ", ".join(f"greatest({3 if name == 'max_df' else 2}, {_scaled(at, 'n')}) AS {name}" for name, at in sizes.items())
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in "customer documents events lineitem orders part".split())
+    found["scaled_cutoffs"] = f"SELECT name, n AS targets, {cuts} FROM ({counts})"
     found["name_cluster_profile"] = f"SELECT cluster_size, count(*) AS clusters, max((cluster_size > 30)::BIGINT) AS over_cap FROM (SELECT {_norm('p_name')} AS k, count(*) AS cluster_size FROM part GROUP BY ALL) GROUP BY cluster_size"
     found["country_consistency"] = "SELECT a.lang AS q_lang, b.lang AS t_lang, count(*) AS links FROM documents a JOIN documents b USING (text) WHERE a.doc_id % 3 = 0 AND b.doc_id % 3 > 0 GROUP BY ALL"
     return found

@@ -2,11 +2,13 @@
 
 Adapter: documents stand for entities.  source = 1 + doc_id % 3 (1 asks, 2 and 3
 are targets), country = lang, name = the first 8 words, address = the next 16;
-equal texts within a language are the ground truth.
+equal texts within a language are the ground truth.  The queries named `_whole`
+have all other words in the address.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property, wraps
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from tessera.functions import text as N
 from tessera.operators import blocking, entities, evaluate, features, labels, model, output, tfidf
 from tessera.operators.blocking import BlockConfig
-from tessera.operators.stages import stage
+from tessera.operators.stages import shared_folder, stage
+from tessera.sources import tables
 
 CFG = BlockConfig(max_df=300)  # for tables of thousands of rows, and the least for others
 VAL, PER_POS, SEED, THRESHOLD = 0.3, 5, 42, 0.6
@@ -41,11 +44,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """whole: the address is all that follows the name."""
     # 24 words are wanted; the limit leaves room for an empty piece before them and keeps the rest of a long text whole
-    words = F.filter(F.split("text", r"\s+", 26), lambda x: x != "")
+    words = F.filter(F.split("text", r"\s+", -1 if whole else 26), lambda x: x != "")
     d = read(spark, sf_dir, "documents").withColumn("w", words)
-    return d.select(F.col("doc_id").alias("entity_id"), (1 + F.col("doc_id") % 3).alias("source_no"), F.col("lang").alias("country"), F.array_join(F.slice("w", 1, 8), " ").alias("name"), F.array_join(F.slice("w", 9, 16), " ").alias("address"))
+    length = F.greatest(F.size("w"), F.lit(0)) if whole else F.lit(16)
+    return d.select(F.col("doc_id").alias("entity_id"), (1 + F.col("doc_id") % 3).alias("source_no"), F.col("lang").alias("country"), F.array_join(F.slice("w", 1, 8), " ").alias("name"), F.array_join(F.slice("w", F.lit(9), length), " ").alias("address"))
 
 
 def cfg_of(target_rows: int) -> BlockConfig:
@@ -57,9 +62,9 @@ def cfg_of(target_rows: int) -> BlockConfig:
 class Data:
     """Tables that several queries share, each staged on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, whole: bool = False):
         self.spark, self.dir = spark, sf_dir
-        norm = stage(N.normalize(raw(spark, sf_dir)))
+        norm = stage(N.normalize(raw(spark, sf_dir, whole)))
         self.q, self.t = entities.queries_of(norm), entities.target_union(norm)
 
     @cached_property
@@ -71,9 +76,13 @@ class Data:
         q, t = (d.where(c).select(F.col("doc_id").alias(i), "lang", "text") for c, i in (("s = 1", "sid"), ("s > 1", "tid")))
         return q.join(t, ["lang", "text"]).select("sid", "tid").distinct()
 
-    def candidates(self) -> DataFrame:
+    @cached_property
+    def _candidates(self) -> DataFrame:
         return stage(blocking.merge(blocking.join_blocks(self.q, self.t, self.cfg), tfidf.tfidf_block(self.q, self.t, self.cfg)))
 
+    def candidates(self) -> DataFrame:
+        return self._candidates
+
     def scored(self) -> DataFrame:
         d = features.attach(self.candidates(), self.q, self.t)
         return features.rule_score(features.sets(features.scalar(d, CFG.k))).select("sid", "tid", "score")
@@ -143,6 +152,16 @@ def ground_truth_pairs(spark, sf_dir):
     return Data(spark, sf_dir).truth()
 
 
+@query
+def truth_from_lists(spark, sf_dir):
+    """Comma-joined lists of the next two entities and one that is not there, as (sid, tid)."""
+    d = raw(spark, sf_dir)
+    following = F.concat_ws(",", F.col("entity_id") + 1, F.col("entity_id") + 2, F.concat(F.lit("x"), F.col("entity_id")))
+    lists = d.where("source_no = 1").select(F.col("entity_id").cast("string").alias("source1_entity_id"), following.alias("matched_entity_ids"))
+    q, t = (x.select(F.col("entity_id").cast("string").alias(name), F.col("entity_id").alias(of)) for x, name, of in ((d.where("source_no = 1"), "source1_entity_id", "sid"), (d.where("source_no > 1"), "entity_id", "tid")))
+    return entities.truth_pairs(lists, q, t)
+
+
 @query
 def stats_name(spark, sf_dir):
     return blocking.exact_postings(Data(spark, sf_dir).t, "name_norm", CFG)
@@ -153,10 +172,19 @@ def stats_ss(spark, sf_dir):
     return blocking.exact_postings(Data(spark, sf_dir).t, "name_ss", CFG)
 
 
+def _street_numbers(spark, sf_dir, table, key, of):
+    """Addresses of a table of accounts: the whole units of the balance are the street number."""
+    d = read(spark, sf_dir, table)
+    prefix = key[0]
+    address = F.concat(F.abs(F.col(f"{prefix}_acctbal")).cast("long").cast("string"), F.lit(" Main Rd"))
+    rows = N.normalize(d.select(F.col(key).alias(of), F.lit("x").alias("country"), F.col(f"{prefix}_name").alias("name"), address.alias("address")))
+    return rows.select(of, "country", "street_num")
+
+
 @query
 def stats_addr(spark, sf_dir):
-    rows = _customer_addresses(spark, sf_dir).select(F.col("c_custkey").alias("tid"), F.lit("x").alias("country"), F.expr("string(int(street_num) % 40)").alias("street_num"))
-    return blocking.address_postings(rows, CFG)
+    rows = _street_numbers(spark, sf_dir, "customer", "c_custkey", "tid")
+    return blocking.address_postings(rows, cfg_of(rows.count()))
 
 
 @query
@@ -182,9 +210,9 @@ def block_suffix(spark, sf_dir):
 
 @query
 def block_address(spark, sf_dir):
-    rows = _customer_addresses(spark, sf_dir).select("c_custkey", F.lit("x").alias("country"), F.expr("string(int(street_num) % 400)").alias("street_num"))
-    q, t = (rows.where(c).withColumnRenamed("c_custkey", i) for c, i in (("c_custkey % 3 = 0", "sid"), ("c_custkey % 3 > 0", "tid")))
-    return blocking.address_block(q, t, CFG).select("sid", "tid")
+    """Suppliers look for customers with their street number."""
+    q, t = _street_numbers(spark, sf_dir, "supplier", "s_suppkey", "sid"), _street_numbers(spark, sf_dir, "customer", "c_custkey", "tid")
+    return blocking.address_block(q, t, cfg_of(t.count())).select("sid", "tid")
 
 
 @query
@@ -214,6 +242,52 @@ def tfidf_topk(spark, sf_dir):
     return _block(spark, sf_dir, lambda q, t, cfg: tfidf.topk(q, t, cfg))
 
 
+@query
+def norm_whole(spark, sf_dir):
+    return N.normalize(raw(spark, sf_dir, True)).select("entity_id", "name_norm", "addr_norm", "addr_num", "addr_nchar")
+
+
+@query
+def tfidf_vocab_whole(spark, sf_dir):
+    d = Data(spark, sf_dir, True)
+    return tfidf.vocabulary(d.t, d.cfg).withColumn("idf", F.round("idf", 6))
+
+
+@query
+def tfidf_topk_whole(spark, sf_dir):
+    """Over whole texts, with long vectors and long posting lists."""
+    d = Data(spark, sf_dir, True)
+    return tfidf.topk(d.q, d.t, d.cfg)
+
+
+@query
+def tfidf_kept_index(spark, sf_dir):
+    """The same from a vocabulary and weights that were written and read again."""
+    d = Data(spark, sf_dir)
+    base = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    vocab = tables.staged(spark, f"{base}/vocab", lambda: tfidf.vocabulary(d.t, d.cfg))
+    weights = tables.staged(spark, f"{base}/weights", lambda: tfidf.weights(d.t, "tid", vocab))
+    return tfidf.nearest(d.q, vocab, weights, d.cfg)
+
+
+@query
+def scaled_cutoffs(spark, sf_dir):
+    """The frequency cut-offs for as many targets as each table has rows."""
+    found = []
+    for name in ("customer", "documents", "events", "lineitem", "orders", "part"):
+        n = read(spark, sf_dir, name).count()
+        cfg = BlockConfig().scaled(n)
+        found.append((name, n, cfg.rare_max_df, cfg.addr_max_df, cfg.max_df))
+    return spark.createDataFrame(found, "name string, targets long, rare_max_df long, addr_max_df long, max_df long")
+
+
+@query
+def cut_postings(spark, sf_dir):
+    """How many postings each cap and frequency window leaves out, so that nothing is dropped unseen."""
+    d = Data(spark, sf_dir)
+    return blocking.left_out(d.t, d.cfg)
+
+
 @query
 def candidates_all(spark, sf_dir):
     return Data(spark, sf_dir).candidates()
@@ -347,6 +421,40 @@ def validate_output(spark, sf_dir):
     return output.validate(d.q.select("sid"), d.t, output.lists(d.q, d.matched()), output.lists(d.q, d.candidates()))
 
 
+@query
+def validate_faults(spark, sf_dir):
+    """Lists with faults of every rule, by the last digits of the query's id."""
+    d = Data(spark, sf_dir)
+    lists = output.lists(d.q, d.candidates())
+    own, ids = F.col("sid") % 10, F.col("matched_entity_ids")
+    comma = F.when(ids == "", "").otherwise(",")
+    first = F.split(ids, ",")[0]
+    faulty = F.when(own == 1, F.concat(ids, comma, F.lit("nobody"))).when((own == 2) & (ids != ""), F.concat(ids, comma, first)).when(own == 3, F.concat(ids, comma, F.lit("-1,-1"))).otherwise(ids)
+    rows = lists.where(own != 4).select("sid", faulty.alias("matched_entity_ids"))
+    rows = rows.union(rows.where(own == 5)).union(rows.where(own == 6).select(-F.col("sid") - 1, "matched_entity_ids"))
+    return output.validate(d.q.select("sid"), d.t, rows, lists)
+
+
+@query
+def match_lines(spark, sf_dir):
+    """Match lists as written to text and read again."""
+    d = Data(spark, sf_dir)
+    path = f"{shared_folder(spark)}/lists-{uuid.uuid4().hex}"
+    made = output.lists(d.q, d.matched()).select(F.col("sid").cast("string").alias("source1_entity_id"), tables.ids_of("matched_entity_ids").alias("ids"))
+    tables.write_matches(made, path)
+    return tables.read_matches(spark, path).select("source1_entity_id", F.array_join("ids", ",").alias("matched_entity_ids"))
+
+
+@query
+def entity_lines(spark, sf_dir):
+    """Entities as written to tab-separated text, with one column more, and read again."""
+    path = f"{shared_folder(spark)}/entities-{uuid.uuid4().hex}/source.tsv"
+    rows = raw(spark, sf_dir).select(F.col("entity_id").cast("string"), F.col("name").alias("business_name"), F.col("address").alias("business_address"), "country", F.lit("more").alias("extra"))
+    rows.write.options(sep="\t", header=True, quote='"', escape='"', emptyValue="").csv(path)
+    back = tables.scan_source(spark, path)
+    return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in back.columns])
+
+
 @query
 def name_cluster_profile(spark, sf_dir):
     return entities.cluster_profile(read(spark, sf_dir, "part"), N.normalize_text(F.col("p_name")), 30)
@@ -366,6 +474,28 @@ def dev_sample(spark, sf_dir):
     return entities.sample_by_hash(raw(spark, sf_dir).where("source_no = 1").select("entity_id", "country"), "entity_id", 50, SEED)
 
 
+def _development(spark, sf_dir):
+    """Queries and targets to develop with: 20 linked, 10 single, 5 of two links or more, 15 more of each source."""
+    d = raw(spark, sf_dir).select("entity_id", "source_no", "country")
+    links = Data(spark, sf_dir).truth().select(F.col("sid").alias("source1_entity_id"), F.col("tid").alias("entity_id"))
+    q, t = entities.development_sample(d.where("source_no = 1"), d.where("source_no > 1"), links, 20, 10, 5, 15, least=2, seed=SEED)
+    return q, t, links
+
+
+@query
+def dev_split(spark, sf_dir):
+    q, t, _ = _development(spark, sf_dir)
+    return q.unionByName(t)
+
+
+@query
+def dev_split_report(spark, sf_dir):
+    q, t, links = _development(spark, sf_dir)
+    lists = q.select(F.col("entity_id").alias("source1_entity_id")).join(links.groupBy("source1_entity_id").agg(F.collect_list("entity_id").alias("ids")), "source1_entity_id", "left")
+    lists = lists.withColumn("ids", F.coalesce("ids", F.array().cast("array<bigint>")))
+    return entities.sample_report(q, t.where("source_no = 2"), t.where("source_no = 3"), lists)
+
+
 def _model(spark, sf_dir):
     d = Data(spark, sf_dir)
     rows = labels.train_pairs(d.candidates(), d.truth(), PER_POS, SEED, VAL)
@@ -375,7 +505,7 @@ def _model(spark, sf_dir):
 @query
 def gbt_train_metrics(spark, sf_dir):
     _, rows = _model(spark, sf_dir)
-    fitted = model.train(rows, features.FEATURES, trees=8, depth=4)
+    fitted = model.train(rows, features.FEATURES, trees=20, depth=5, rate=0.2, leaf=5, patience=0)
     points = [("train", "not is_val"), ("val", "is_val")]
     return spark.createDataFrame([(n, rows.where(c).count(), model.auc(fitted, rows.where(c))) for n, c in points], "fold string, pairs long, auc double")
 
@@ -383,7 +513,7 @@ def gbt_train_metrics(spark, sf_dir):
 @query
 def gbt_scores(spark, sf_dir):
     d, rows = _model(spark, sf_dir)
-    fitted = model.train(rows, features.FEATURES, trees=8, depth=4)
+    fitted = model.train(rows, features.FEATURES, trees=20, depth=5, rate=0.2, leaf=5, patience=0)
     return model.score(fitted, features.pair_features(d.candidates(), d.q, d.t, CFG.k), features.FEATURES).select("sid", "tid", "score")
 
 

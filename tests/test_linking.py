@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 import pytest
 
 from tessera.operators import blocking, entities, evaluate, features, labels, model, output, tfidf
@@ -60,6 +64,43 @@ def test_topk_ties_and_order(sides, spark):
     assert first == again
 
 
+def plain_topk(q, t, k):
+    """Row by row: idf of the targets of a country, unit vectors, products, six places, smaller ids first."""
+    split = lambda r: f"{r.name_tok} {r.addr_tok}".split()
+    out = set()
+    for country in {r.country for r in q}:
+        own = {r.tid: split(r) for r in t if r.country == country}
+        df = Counter(x for w in own.values() for x in set(w))
+
+        def vector(words):
+            w = {x: (1 + math.log(n)) * (math.log((1 + len(own)) / (1 + df[x])) + 1) for x, n in Counter(words).items() if x in df}
+            norm = math.sqrt(sum(v * v for v in w.values()))
+            return {x: v / norm for x, v in w.items()}
+
+        vectors = {i: vector(w) for i, w in own.items()}
+        for r in q:
+            if r.country == country:
+                mine = vector(split(r))
+                scores = {i: round(sum(v * w.get(x, 0) for x, v in mine.items()), 6) for i, w in vectors.items()}
+                best = sorted((-s, i) for i, s in scores.items() if s > 0)[:k]
+                out |= {(r.sid, i, -s, n + 1) for n, (s, i) in enumerate(best)}
+    return out
+
+
+@pytest.mark.parametrize("block, chunk, cells", [(50_000, 50_000, 1 << 22), (7, 5, 20), (1000, 3, 1)])
+def test_topk_against_plain(spark, monkeypatch, block, chunk, cells):
+    """Whatever the blocks of targets, chunks of queries and cells at once; with a country that has most rows."""
+    r = random.Random(block)
+    words = [f"w{i}" for i in range(25)]
+    make = lambda i: (i, "DE" if r.random() < 0.8 else r.choice(["US", "FR"]), " ".join(r.choices(words, k=r.randrange(6))), " ".join(r.choices(words, k=r.randrange(9))), "")
+    q = rows(spark, "sid", [make(i) for i in range(60)] + [(99, None, "w1 w2", "w3", "")])
+    t = rows(spark, "tid", [make(100 + i) for i in range(90)] + [(999, None, "w1 w2", "w3", "")])
+    for name, n in (("BLOCK", block), ("CHUNK", chunk), ("CELLS", cells)):
+        monkeypatch.setattr(tfidf, name, n)
+    got = {(x.sid, x.tid, x.tfidf_score, x.tfidf_rank) for x in tfidf.topk(q, t, BlockConfig(min_df=1, max_df=1000, k=4)).collect()}
+    assert got == plain_topk(q.where("country is not null").collect(), t.collect(), 4)
+
+
 def test_scaled_config():
     full = BlockConfig().scaled(10_320_219)
     assert (full.rare_max_df, full.addr_max_df, full.max_df) == (379, 1894, 56_814)
@@ -149,7 +190,7 @@ def test_features_both_empty(sides, spark):
 
 def test_model(spark):
     rows = spark.createDataFrame([(i, float(i % 10), float(i % 7), int(i % 10 > 5), i % 4 == 0) for i in range(400)], "sid int, a double, b double, label int, is_val boolean")
-    fitted = model.train(rows, ("a", "b"), trees=3, depth=2)
+    fitted = model.train(rows, ("a", "b"), trees=3, depth=2, rate=0.2, leaf=5, patience=0)
     assert model.auc(fitted, rows.where("is_val")) > 0.95
     assert model.score(fitted, rows, ("a", "b")).where("score between 0 and 1").count() == 400
     with pytest.raises(ValueError):
