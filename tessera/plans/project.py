@@ -3,7 +3,10 @@
 Input of a split: `<base>/<split>/source{1,2,3}` as .tsv or .parquet, and truth.tsv
 where there is one.  Each stage's table is written to `<base>/<split>/stages` and
 read again by later runs; it is built anew where its settings, or a table that it
-came from, have changed.  Fitted models, reports and lists lie beside it.
+came from, have changed.  The long stages (normalised entities, candidates,
+features, scores) are written in shards by the hash of an id, each with a marker,
+so that a run that is lost goes on where it stopped.  Fitted models, reports and
+lists lie beside them.
 """
 
 from __future__ import annotations
@@ -22,17 +25,22 @@ from tessera.sources import tables
 
 @dataclass(frozen=True)
 class Settings:
-    """scale: frequency cut-offs in proportion to the number of targets."""
+    """scale: frequency cut-offs in proportion to the number of targets.  patience: rounds of boosting without a
+    gain on the validation fold after which the rest is left out (0: none is).  shard_rows: entities or queries of a
+    shard."""
 
     blocks: BlockConfig = BlockConfig()
     scale: bool = True
     val: float = 0.1
     per_pos: int = 5
     seed: int = 42
-    trees: int = 20
-    depth: int = 5
-    rate: float = 0.2
+    trees: int = 60
+    depth: int = 6
+    rate: float = 0.05
+    leaf: int = 50
+    patience: int = 50
     linear: bool = False
+    shard_rows: int = 1_000_000
 
 
 class Project:
@@ -51,6 +59,18 @@ class Project:
         source = {x: self._made(split, x) for x in of}
         return tables.traced(self.spark, self._at(split, f"stages/{name}"), build, source=source, **about)
 
+    def _shards(self, rows: int) -> int:
+        return max(1, -(-rows // self.settings.shard_rows))
+
+    def _sharded(self, split: str, name: str, of: tuple[str, ...], rows: int, by: str, build: Callable[[Callable], DataFrame], **about: object) -> DataFrame:
+        """A stage in shards by the hash of `by`.  build: gets a function that takes a shard's rows of a table."""
+        source, n = {x: self._made(split, x) for x in of}, self._shards(rows)
+        share = lambda k: lambda d: d.where(F.pmod(F.xxhash64(F.col(by)), F.lit(n)) == k) if n > 1 else d
+        return tables.sharded(self.spark, self._at(split, f"stages/{name}"), n, lambda k: build(share(k)), source=source, **about)
+
+    def _rows(self, split: str, name: str) -> int:
+        return tables.manifest(self.spark, self._at(split, f"stages/{name}"))["rows"]
+
     # entities
 
     def raw(self, split: str, number: int) -> DataFrame:
@@ -58,14 +78,14 @@ class Project:
         return tables.scan_source(self.spark, next((p for p in paths if tables.exists(self.spark, p)), paths[-1]))
 
     def _side(self, split: str, name: str, of: str, numbers: tuple[int, ...]) -> DataFrame:
-        def build() -> DataFrame:
-            rows = None
-            for n in numbers:
-                d = self.raw(split, n).select("entity_id", F.coalesce("country", F.lit("")).alias("country"), F.col("business_name").alias("name"), F.col("business_address").alias("address"), F.lit(n).alias("source_no"))
-                rows = d if rows is None else rows.unionByName(d)
-            return entities.dense_ids(N.normalize(rows), "entity_id", of)
-
-        return self._stage(split, name, (), build)
+        rows = None
+        for n in numbers:
+            d = self.raw(split, n).select("entity_id", F.coalesce("country", F.lit("")).alias("country"), F.col("business_name").alias("name"), F.col("business_address").alias("address"), F.lit(n).alias("source_no"))
+            rows = d if rows is None else rows.unionByName(d)
+        note = tables.manifest(self.spark, self._at(split, f"stages/{name}_normal"))
+        count = note["rows"] if note else rows.count()
+        normal = self._sharded(split, f"{name}_normal", (), count, "entity_id", lambda share: N.normalize(share(rows)))
+        return self._stage(split, name, (f"{name}_normal",), lambda: entities.dense_ids(normal, "entity_id", of))
 
     def queries(self, split: str) -> DataFrame:
         return self._side(split, "queries", "sid", (1,))
@@ -98,9 +118,14 @@ class Project:
     def candidates(self, split: str) -> DataFrame:
         q = self.queries(split)
         index, cfg = self.index(split)
-        near = lambda: blocking.pairs(tfidf.nearest(q, index["vocab"], index["weights"], cfg), "tfidf")
+
+        def build(share: Callable) -> DataFrame:
+            some = share(q)
+            near = blocking.pairs(tfidf.nearest(some, index["vocab"], index["weights"], cfg), "tfidf")
+            return blocking.merge(blocking.look_up(some, index, cfg), near)
+
         of = ("queries", *(f"index_{n}" for n in index))
-        return self._stage(split, "candidates", of, lambda: blocking.merge(blocking.look_up(q, index, cfg), near()), tfidf_k=cfg.k)
+        return self._sharded(split, "candidates", of, self._rows(split, "queries"), "sid", build, tfidf_k=cfg.k)
 
     def recall(self, split: str, gate: bool = False) -> DataFrame:
         """The recall report, also written; with `gate`, too low a recall is an error."""
@@ -129,12 +154,13 @@ class Project:
         if val_only:
             rows = rows.join(self._val(split).where("is_val").select("sid"), "sid", "left_semi")
         q, t = self.queries(split), self.targets(split)
-        return self._stage(split, f"features_{of}{'_val' * val_only}", ("queries", "targets", of), lambda: features.pair_features(rows, q, t, k), tfidf_k=k, **about)
+        build = lambda share: features.pair_features(share(rows), share(q), t, k)
+        return self._sharded(split, f"features_{of}{'_val' * val_only}", ("queries", "targets", of), self._rows(split, "queries"), "sid", build, tfidf_k=k, **about)
 
     def train(self, split: str) -> DataFrame:
         """Fits and writes the model; returns (and writes) its report: pairs and AUC of both folds, K, importances."""
         s, rows = self.settings, self.features(split, "pairs")
-        fitted = model.train(rows, features.FEATURES, s.trees, s.depth, s.rate, s.seed, s.linear)
+        fitted = model.train(rows, features.FEATURES, s.trees, s.depth, s.rate, s.seed, s.linear, s.leaf, s.patience)
         model.save(fitted, self._at(split, "model"))
         folds = {n: rows.where(c) for n, c in (("train", "not is_val"), ("val", "is_val"))}
         gains = model.importance(fitted)
@@ -149,9 +175,8 @@ class Project:
         note = tables.read_report(self.spark, self._at(model_split, "reports/model"))[0]
         tables.require_same_k(self.spark, self._at(split, f"stages/{name}"), note["tfidf_k"])
         fitted = model.load(self._at(model_split, "model"))
-        build = lambda: model.score(fitted, rows, features.FEATURES).select("sid", "tid", "score")
-        done = self._stage(split, f"scores{'_val' * val_only}", (name,), build, model=f"{model_split} {fitted.uid}")
-        return done
+        build = lambda share: model.score(fitted, share(rows), features.FEATURES).select("sid", "tid", "score")
+        return self._sharded(split, f"scores{'_val' * val_only}", (name,), self._rows(split, "queries"), "sid", build, model=f"{model_split} {fitted.uid}")
 
     def threshold(self, split: str = "train") -> float:
         """Sweeps the validation fold, writes the curve and its best point, and returns that threshold."""
@@ -178,39 +203,41 @@ class Project:
         q = self.queries(split).select("sid", F.col("entity_id").alias("source1_entity_id"))
         return q.join(ids, "sid", "left").select("source1_entity_id", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
 
-    def write(self, split: str, model_split: str = "train", threshold: float | None = None) -> DataFrame:
-        """Writes lists/matches and lists/candidates; returns (and writes) their summary."""
+    def write(self, split: str, model_split: str = "train", threshold: float | None = None, out: str | None = None) -> DataFrame:
+        """Writes matches and candidates below `out` (lists of the split); returns (and writes) their summary."""
         least = self.chosen_threshold(split) if threshold is None else threshold
+        out = out or self._at(split, "lists")
         scores, candidates = self.scores(split, model_split), self.candidates(split)
-        if scores.count() != candidates.count():
-            raise RuntimeError("scores do not cover the candidates")
-        tables.write_matches(self._lists(split, scores.where(F.col("score") >= least)), self._at(split, "lists/matches"))
-        tables.write_matches(self._lists(split, candidates), self._at(split, "lists/candidates"), "candidate_entity_ids")
+        if not tables.same_pairs(scores, candidates):
+            raise RuntimeError("the scored pairs are not the candidates")
+        tables.write_matches(self._lists(split, scores.where(F.col("score") >= least)), f"{out}/matches")
+        tables.write_matches(self._lists(split, candidates), f"{out}/candidates", "candidate_entity_ids")
         size = F.size("ids")
-        lines = tables.read_matches(self.spark, self._at(split, "lists/matches"))
+        lines = tables.read_matches(self.spark, f"{out}/matches")
         summary = lines.agg(F.lit(least).alias("threshold"), F.count("*").alias("lines"), F.count(F.when(size > 0, 1)).alias("matched"), F.coalesce(F.sum(size), F.lit(0)).alias("ids"))
         tables.write_report(summary, self._at(split, "reports/lists"))
         return self.spark.read.json(self._at(split, "reports/lists"))
 
-    def evaluate(self, split: str, path: str | None = None) -> DataFrame:
-        """Scores a written match list against the truth; also written."""
+    def evaluate(self, split: str, path: str | None = None, out: str | None = None) -> DataFrame:
+        """Scores a written match list against the truth; also written, to `out` if given."""
         lines = tables.read_matches(self.spark, path or self._at(split, "lists/matches"))
         found = lines.select(F.col("source1_entity_id").alias("sid"), F.explode("ids").alias("tid"))
         q, t = (d.select(of, "entity_id") for d, of in ((self.queries(split), "sid"), (self.targets(split), "tid")))
         truth = self.truth(split).join(q, "sid").select("tid", F.col("entity_id").alias("sid")).join(t, "tid").select("sid", F.col("entity_id").alias("tid"))
         report = evaluate.submission_score(evaluate.per_entity(q.select(F.col("entity_id").alias("sid")), found, truth))
-        tables.write_report(report, self._at(split, "reports/score"))
+        tables.write_report(report, out or self._at(split, "reports/score"))
         return report
 
-    def validate(self, split: str, matches: str | None = None, candidates: str | None = None) -> DataFrame:
-        """Rows (rule, violations) of two written lists."""
+    def validate(self, split: str, matches: str | None = None, candidates: str | None = None, check_ids: bool = True) -> DataFrame:
+        """Rows (rule, violations) of two written lists.  check_ids: also look ids up among the targets."""
         m = tables.read_match_lines(self.spark, matches or self._at(split, "lists/matches"))
         c = tables.read_match_lines(self.spark, candidates or self._at(split, "lists/candidates"), "candidate_entity_ids")
         q, t = (d.select(F.col("entity_id").alias(of)) for d, of in ((self.queries(split), "sid"), (self.targets(split), "tid")))
-        return output.validate(q, t, m, c)
+        return output.validate(q, t if check_ids else None, m, c)
 
     def sample(self, split: str, to: str, matched: int = 6000, single: int = 2000, many: int = 2000, extra: int = 120_000) -> None:
-        """Writes a smaller split to develop with: sources and truth."""
+        """Writes a smaller split to develop with, sources and truth, and a report of it: sizes, queries by country
+        and by number of links."""
         raw = {n: self.raw(split, n).select(*tables.ENTITY.names).withColumn("source_no", F.lit(n)) for n in (1, 2, 3)}
         truth = tables.read_ground_truth(self.spark, self._at(split, "truth.tsv"))
         q, t = entities.development_sample(raw[1], raw[2].unionByName(raw[3]), entities.explode_truth(truth), matched, single, many, extra, seed=self.settings.seed)
@@ -219,6 +246,8 @@ class Project:
             t.where(f"source_no = {n}").drop("source_no").write.mode("overwrite").parquet(self._at(to, f"source{n}.parquet"))
         kept = truth.join(q.select(F.col("entity_id").alias("source1_entity_id")), "source1_entity_id", "left_semi")
         tables.write_matches(kept.select("source1_entity_id", tables.ids_of("matched_entity_ids").alias("ids")), self._at(to, "truth.tsv"))
+        made = {n: self.spark.read.parquet(self._at(to, f"source{n}.parquet")) for n in (1, 2, 3)}
+        tables.write_report(entities.sample_report(made[1], made[2], made[3], kept.select("source1_entity_id", tables.ids_of("matched_entity_ids").alias("ids"))), self._at(to, "reports/sample"))
 
     # whole runs
 

@@ -85,6 +85,29 @@ def traced(spark: SparkSession, path: str, build: Callable[[], DataFrame], **abo
     return staged(spark, path, build, **about)
 
 
+def sharded(spark: SparkSession, path: str, shards: int, build: Callable[[int], DataFrame], **about: object) -> DataFrame:
+    """A stage in parts, each with a marker of its own: a run that is lost goes on at the first part that is missing.
+    A part that was made with other settings, or of other tables, is built again."""
+    note = manifest(spark, path)
+    parts = [f"{path}/shard-{k:05d}" for k in range(shards)]
+    if note is None or note.get("shards") != shards or any(note.get(k) != v for k, v in about.items()):
+        if note is not None and note.get("shards") != shards:
+            drop(spark, path)
+        rows = 0
+        for k, part in enumerate(parts):
+            traced(spark, part, lambda k=k: build(k), shards=shards, **about)
+            rows += manifest(spark, part)["rows"]
+        note = json.dumps({"rows": rows, "shards": shards, "finished_at": time.time(), **about})
+        spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.manifest")
+    return spark.read.parquet(*parts)
+
+
+def same_pairs(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two tables have the same (sid, tid), each as often."""
+    both = a.select("sid", "tid", F.lit(1).alias("n")).union(b.select("sid", "tid", F.lit(-1)))
+    return both.groupBy("sid", "tid").agg(F.sum("n").alias("n")).where("n <> 0").isEmpty()
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Removes a stage's table, its manifest first, so that a half-removed one counts as not there."""
     for p in (f"{path}.manifest", path):

@@ -1,6 +1,7 @@
 """A linking project from raw files to lists, over businesses made up here."""
 
 import random
+from dataclasses import replace
 
 import pytest
 
@@ -82,12 +83,43 @@ def test_tables_are_kept_and_follow_their_settings(spark, done):
         other.scores("train")  # the model was trained with another K
 
 
+def test_scores_of_other_pairs_are_refused(spark, done):
+    """As many scores as candidates, but one pair is another."""
+    project, *_, base = done
+    path = f"{base}/test/stages/scores"
+    rows = spark.createDataFrame(spark.read.parquet(f"{path}/shard-00000").collect(), "sid long, tid long, score double")
+    one = rows.orderBy("sid", "tid").first()
+    other = rows.where(f"not (sid = {one.sid} and tid = {one.tid})").union(spark.createDataFrame([(one.sid, 10**9, 0.5)], "sid long, tid long, score double"))
+    faulty = Project(spark, str(base), SMALL)
+    faulty.scores = lambda *a, **k: other
+    with pytest.raises(RuntimeError, match="not the candidates"):
+        faulty.write("test")
+
+
+def test_shards_give_the_same_lists(spark, done, tmp_path):
+    project, *_, base = done
+    lists = lambda p: sorted((r.source1_entity_id, r.ids) for r in tables.read_matches(spark, p).collect())
+    want = lists(f"{base}/test/lists/matches")
+    cut = Project(spark, str(base), replace(SMALL, shard_rows=17))
+    assert cut.write("test", out=str(tmp_path)).first().lines == 60
+    assert lists(f"{tmp_path}/matches") == want
+    assert tables.manifest(spark, f"{base}/test/stages/candidates")["shards"] == 4
+
+
 def test_commands(spark, done, tmp_path):
     *_, base = done
     run = lambda *argv: cli.run(spark, [*argv, "--base", str(base), "--no-scale", "--min-df", "1"])
     run("sample", "--to", "dev", "--matched", "10", "--single", "5", "--many", "0", "--extra", "7")
     queries = run("normalize", "--split", "dev")
     assert queries.count() == 15 and sorted(r.sid for r in queries.select("sid").collect()) == list(range(15))
+    report = {(r.what, r.key): r.n for r in spark.read.json(f"{base}/dev/reports/sample").collect()}
+    assert report["rows", "source1"] == 15 and sum(n for (what, _), n in report.items() if what == "n_matches") == 15 and report["links", "all"] >= 10
+    assert {r.rule for r in run("validate", "--split", "test").collect()} >= {"missing_query"} and "unknown_id" not in {r.rule for r in run("validate", "--split", "test").collect()}
+    assert "unknown_id" in {r.rule for r in run("validate", "--split", "test", "--check-ids").collect()}
+    run("evaluate", "--split", "test", "--out", str(tmp_path / "score"))
+    assert spark.read.json(str(tmp_path / "score")).first().n_s1 == 60
+    parsed = cli.parser().parse_args(["train", "--base", "x", "--early-stopping", "7", "--min-data-in-leaf", "9", "--num-leaves", "63"])
+    assert (parsed.patience, parsed.leaf, parsed.num_leaves) == (7, 9, 63)
     assert run("recall", "--split", "dev").first().truth_pairs >= 10
     assert run("index", "--split", "dev").count() > 0
     assert run("features", "--split", "dev", "--of", "pairs").where("label = 1").count() >= 10
