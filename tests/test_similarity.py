@@ -38,3 +38,15 @@ def test_sets(spark):
     df = spark.createDataFrame([("", ""), ("a b b", "b c"), (None, "x")], "a string, b string")
     a, b = S.token_set(F.col("a")), S.token_set(F.col("b"))
     assert [tuple(r) for r in df.select(S.jaccard(a, b, 1.0), S.jaccard(a, b, 0.0)).collect()] == [(1.0, 0.0), (1 / 3, 1 / 3), (0.0, 0.0)]
+
+
+@pytest.mark.parametrize("low, high, symbols", [(0, 5, "abcé "), (0, 70, "abcdefgh é東ß0"), (50, 200, "abcdefgh é東ß0"), (900, 1300, "abcdefgh "), (40, 60, [chr(x) for x in range(0x4E00, 0x6000)])])
+def test_many_pairs_at_once(low, high, symbols):
+    """Patterns of one word of bits, of several, of too many, and over an alphabet that is too large for one table."""
+    r = random.Random(high)
+    make = lambda: "".join(r.choices(symbols, k=r.randrange(low, high)))
+    a = [make() for _ in range(150)]
+    b = [make() if r.random() < 0.6 else x[: len(x) // 2] + make()[:9] + x[len(x) // 2 :] for x in a]
+    assert S.lcs_many(a, b).tolist() == [S.lcs(x, y) for x, y in zip(a, b, strict=True)]
+    for many, one, empty in ((S._ratios, S.ratio, 1.0), (S._sorted_ratios, S.sorted_ratio, 1.0), (S._set_ratios, S.set_ratio, 0.0)):
+        assert many(a, b, empty) == pytest.approx([one(x, y) if x or y else empty for x, y in zip(a, b, strict=True)])
