@@ -137,7 +137,7 @@ def _set_ratios(a: list[str], b: list[str], empty: float) -> np.ndarray:
         n = np.array(shared)
         l, r = (np.fromiter(map(len, x), np.int64, len(x)) for x in (left, right))  # noqa: E741
         whole = 2 * (n + lcs_many(left, right)) / (2 * n + l + r)
-        alone = np.where(n > 0, 2 * (n - 1) / (2 * n - 1 + np.minimum(l, r)), 0)  # of what is shared and the shorter side
+        alone = np.where(n > 0, 2 * (n - 1) / np.maximum(2 * n - 1 + np.minimum(l, r), 1), 0)  # of what is shared and the shorter side
         out[rest] = np.maximum(whole, alone)
     return out
 
