@@ -65,7 +65,8 @@ def pretokens(text: str, find: Callable[[str], list[str]], chunk: int = 1 << 16,
         meet = seam(own, starts_of(following, after), end)
         yield pieces[own.index(begin) : own.index(meet)]
         begin, pieces = meet, following
-    yield pieces[starts_of(pieces, edges[-1][0]).index(begin) :] if pieces else []
+    last = edges[-1][0]
+    yield pieces if begin == last else pieces[starts_of(pieces, last).index(begin) :]
 
 
 class _Memo(dict):
@@ -106,6 +107,7 @@ class Bpe:
         self.tokens: list[bytes] = [b""] * size
         for token, i in ranks.items():
             self.tokens[i] = token
+        self.digits = [str(i) for i in range(size)]
         #: What holds an id between tasks.
         self.width = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self._find = regex.compile(PATTERN).findall

@@ -174,7 +174,7 @@ class _Digest:
     def add(self, ids: bytes) -> None:
         some = np.frombuffer(ids, "<u4").tolist()
         if some:
-            self.ids.update((("," if self.n else "") + ",".join(map(str, some))).encode())
+            self.ids.update((("," if self.n else "") + ",".join(map(self.bpe.digits.__getitem__, some))).encode())
             self.decoded.update(self.bpe.decode(ids))
             self.n += len(some)
 
