@@ -12,8 +12,9 @@ gets; pieces learn their k from counts by (length, salt) and a rank within, so
 that no length, however frequent, meets in one task.  The plan's size depends on
 the window alone.
 
-Defined cases.  Null text: as empty, so the closing id alone.  Null doc_id and
-repeated rows: each row is packed.  Strings of special tokens are ordinary text.
+Defined cases.  Null text: as empty, so the closing id alone.  Very long texts:
+cut into windows by the task that reads them, a text at a time.  Lengths that are
+equally frequent: in order.  Null doc_id and repeated rows: each row is packed.  Strings of special tokens are ordinary text.
 Empty table: empty result.  Other columns are ignored.
 """
 

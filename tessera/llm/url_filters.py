@@ -13,7 +13,8 @@ steers the balance only).  A rule goes to each range that its interval meets.
 Keys that are cut more than once, as a frequent url's, are dealt over all ranges
 that they bound, so that no key is in one task.
 
-Defined cases.  Null url or one without `://`: host and path are empty.  Null
+Defined cases.  Null url or one without `://`: host and path are empty.  Very
+long urls: whole.  Null
 page_id and repeated rows: a row out for each row in.  Rules that repeat: as one;
 of equal host and path, block wins.  Null in a rule's host or path: as empty.
 Empty tables: an empty result, or the default for each url.  Other columns are

@@ -57,6 +57,29 @@ def test_plan_uses_each_piece_once(seed):
     assert room <= [1.05, 1.01, 1.01, 1.03][seed] * tokens
 
 
+@pytest.mark.parametrize("count", [1, 7])
+def test_lengths_that_are_equally_frequent(count):
+    """Ties in the histogram: the same plan each time, and every piece in it."""
+    have = np.full(1025, count, np.int64)
+    have[0] = 0
+    made = plan(have)
+    assert made == plan(have.copy())
+    used = np.zeros(1025, np.int64)
+    for recipe, n in made:
+        assert sum(a * b for a, b in recipe) <= 1024
+        for length, copies in recipe:
+            used[length] += n * copies
+    assert (used == have).all()
+
+
+def test_long_texts(make, prose):
+    r = np.random.default_rng(3)
+    words = [w for t in prose(n=20, seed=2) if t for w in t.split()]
+    long = " ".join(r.choice(words, 120_000))
+    texts = [long, "z" * 100_000, "short", long[:70_000], "\n".join(r.choice(words, 30_000))]
+    check(op9(make(texts)).collect(), texts, 1024)
+
+
 def test_least_squares():
     rows = np.array([[1, 3, 0], [2, 2, 0], [4, 0, 0]])
     assert np.allclose(nnls(rows, np.array([0, 5, 8, 5, 2]), 2000), [5, 4, 2], atol=1e-3)

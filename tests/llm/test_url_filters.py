@@ -40,3 +40,13 @@ def test_defined_cases(spark):
     assert sorted((r.rule, r.verdict) for r in url_filter(pages(spark, ["http://a.net/x"] * 2, [4, 4]), twice).collect()) == [("net/", "block")] * 2
     long = "http://" + "a." * 5000 + "net/" + "x" * 50_000
     assert [r.rule for r in url_filter(pages(spark, [long]), twice).collect()] == ["net/"]
+
+
+def test_very_long_urls(make, spark):
+    """A path and a host of a million characters."""
+    long = "a" * 1_000_000
+    urls = [f"http://x.example.net/en/{long}", f"http://{long}.net/{long}?{long}", f"http://{'a.' * 100_000}org/fr/", long]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    rows = {r.page_id: r for r in op5(spark, pages).collect()}
+    assert [(rows[i].rule, rows[i].verdict) for i in range(4)] == [("example.net/en/", "allow"), ("net/", "block"), ("org/fr/", "allow"), (None, "allow")]
+    assert rows[1].path == "/" + long and rows[3].host == ""
