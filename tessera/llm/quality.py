@@ -62,8 +62,9 @@ def line_fails(line: Column) -> Column:
     return symbols | bare | menu | phrase
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cleaned_text, base_failed, kept."""
+def measure(docs: DataFrame, figures: tuple[str, ...] | None = None) -> DataFrame:
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cleaned_text, base_failed, kept; or those of
+    them that are named."""
     d = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce("text", F.lit("")).alias("t"))
     d = d.withColumns({"w": words(F.col("t")), "l": F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))})
     d = d.withColumn("h", F.expr("case when size(w) > 3 then transform(slice(w, 1, size(w) - 2), (x, i) -> xxhash64(x, get(w, i + 1), get(w, i + 2))) else array() end"))
@@ -84,6 +85,7 @@ def measure(docs: DataFrame) -> DataFrame:
         "base_failed": failed,
         "kept": ~failed & (left >= (1 - LOSS) * F.col("n")),
     }
+    made = {name: c for name, c in made.items() if figures is None or name in figures}
     # all figures pass through a generator: the optimizer would push a filter on one of them below every step, and
     # write each step out as often as it is used
     d = d.select("row", F.inline_outer(F.array(F.struct(*[c.alias(name) for name, c in made.items()]))))
@@ -92,7 +94,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that are kept, as they are."""
-    judged = measure(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text")))
+    judged = measure(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text")), ("kept",))
     return judged.where("kept").select("row.*")
 
 
