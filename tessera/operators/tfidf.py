@@ -55,7 +55,7 @@ def weights(rows: DataFrame, of: str, vocab: DataFrame) -> DataFrame:
 def topk(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
     """sid, tid, tfidf_score, tfidf_rank of the K nearest targets of each query."""
     vocab = vocabulary(targets, cfg)
-    return nearest(queries, vocab, weights(targets, "tid", vocab), cfg)
+    return nearest(queries, vocab, weights(targets, "tid", vocab), cfg, targets)
 
 
 class _Postings:
@@ -139,12 +139,15 @@ def _products(k: int):
     return run
 
 
-def nearest(queries: DataFrame, vocab: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
-    """topk from a vocabulary and the weights of the targets, as kept from an earlier run."""
+def nearest(queries: DataFrame, vocab: DataFrame, targets: DataFrame, cfg: BlockConfig, counted: DataFrame | None = None) -> DataFrame:
+    """topk from a vocabulary and the weights of the targets, as kept from an earlier run.  counted: the targets
+    themselves, where counting them is cheaper than counting those in the weights."""
     q = weights(queries, "sid", vocab)
     # how many blocks and chunks a country needs, and chunks enough to give every task some
-    size = targets.groupBy("country").agg(F.approx_count_distinct("tid").alias("t")).join(q.groupBy("country").agg(F.approx_count_distinct("sid").alias("q")), "country")
-    tasks = 2 * int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = targets.groupBy("country").agg(F.approx_count_distinct("tid").alias("t")) if counted is None else counted.groupBy("country").agg(F.count("*").alias("t"))
+    size = size.join(queries.groupBy("country").agg(F.count("*").alias("q")), "country")
+    parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = 2 * parts
     size = size.crossJoin(F.broadcast(size.agg(F.sum("q").alias("all"))))  # one row
     size = size.withColumn("blocks", F.ceil(F.col("t") / BLOCK).cast("int"))
     size = size.select("country", "blocks", F.greatest(F.ceil(F.col("q") / CHUNK), F.least(F.ceil(tasks * F.col("q") / F.col("all") / F.col("blocks")), F.ceil(F.col("q") / 64))).cast("int").alias("chunks"))
@@ -153,7 +156,7 @@ def nearest(queries: DataFrame, vocab: DataFrame, targets: DataFrame, cfg: Block
     t = targets.join(size, "country").select("country", place("tid", "blocks").alias("block"), every("chunks").alias("chunk"), F.lit(0).alias("kind"), F.col("tid").alias("id"), "token", "w")
     q = q.join(size, "country").select("country", every("blocks").alias("block"), place("sid", "chunks").alias("chunk"), F.lit(1).alias("kind"), F.col("sid").alias("id"), "token", "w")
     group = ["country", "block", "chunk"]
-    rows = t.union(q).repartition(tasks, *group).sortWithinPartitions(*group, "kind", "id")
+    rows = t.union(q).repartition(parts, *group).sortWithinPartitions(*group, "kind", "id")
     kinds = dict(queries.dtypes)["sid"], dict(targets.dtypes)["tid"]
     scores = rows.mapInArrow(_products(cfg.k), "sid {}, tid {}, tfidf_score double".format(*kinds))
     rank = Window.partitionBy("sid").orderBy(F.col("tfidf_score").desc(), "tid")
