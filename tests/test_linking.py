@@ -2,6 +2,8 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tessera.operators import blocking, entities, evaluate, features, labels, model, output, tfidf
@@ -101,6 +103,32 @@ def test_topk_against_plain(spark, monkeypatch, block, chunk, cells):
     assert got == plain_topk(q.where("country is not null").collect(), t.collect(), 4)
 
 
+def test_copies_do_not_follow_the_shuffle_partitions(spark, monkeypatch):
+    """A target goes to as many groups as the pairs are worth, also where a session has many partitions."""
+
+    def counted(k):
+        def run(batches):
+            for b in batches:
+                own = b.filter(pc.equal(b.column("kind"), 0))
+                n = own.num_rows
+                yield pa.RecordBatch.from_arrays([own.column("id"), pa.array([0] * n, pa.int64()), pa.array([1.0] * n)], names=["sid", "tid", "tfidf_score"])
+
+        return run
+
+    q = rows(spark, "sid", [(i, "DE", "word", "", "") for i in range(1300)])
+    t = rows(spark, "tid", [(5000 + i, "DE", "word", "", "") for i in range(10)])
+    monkeypatch.setattr(tfidf, "_products", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        cfg = BlockConfig(min_df=1, max_df=10**6, k=10**6)
+        vocab = tfidf.vocabulary(t, cfg)
+        assert tfidf.topk(q, t, cfg).count() == 10
+        assert tfidf.nearest(q, vocab, tfidf.weights(t, "tid", vocab), cfg).count() == 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_scaled_config():
     full = BlockConfig().scaled(10_320_219)
     assert (full.rare_max_df, full.addr_max_df, full.max_df) == (379, 1894, 56_814)
