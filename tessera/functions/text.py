@@ -7,6 +7,7 @@ Missing values are empty strings.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -40,15 +41,28 @@ SEPARATOR_BLOCKS = (
     "0964 0965 2010-2027 2030-205E 20A0-20BF 2100-214F 2190-24FF 2500-27BF 2983-2998 2E00-2E7F 3000-303F FE10-FE6B FF01-FF65 1F300-1FAFF"
 )
 _MARKS = {c: None for block in MARK_BLOCKS.split() for c in range(int(block[:4], 16), int(block[-4:], 16) + 1)}
-SEPARATORS = "[" + "".join("-".join(f"\\x{{{x}}}" for x in block.split("-")) for block in SEPARATOR_BLOCKS.split()) + "]+"
+_RANGES = [(int(block.split("-")[0], 16), int(block.split("-")[-1], 16)) for block in SEPARATOR_BLOCKS.split()]
+SEPARATORS = "[" + "".join(f"\\x{{{a:04X}}}-\\x{{{b:04X}}}" for a, b in _RANGES) + "]+"
+# those of ASCII alone, as a long class costs much for each character
+_ASCII_SEPARATORS = "[" + "".join(f"\\x{a:02X}-\\x{b:02X}" for a, b in _RANGES if b < 128) + "]+"
+_SEPARATE = re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in _RANGES) + "]+")
 DIGITS = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Nd")
 ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in DIGITS)
 NUMBER = r"^\p{Nd}+$"
 
 
+def _folded(text: str) -> str:
+    return unicodedata.normalize("NFKD", text).translate(_MARKS).casefold()
+
+
 @F.pandas_udf(T.StringType())
 def _fold_unicode(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).translate(_MARKS).casefold())
+    return texts.map(lambda t: None if t is None else _folded(t))
+
+
+@F.pandas_udf(T.StringType())
+def _normalize_unicode(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else _SEPARATE.sub(" ", _folded(t).replace("&", " and ").replace("+", " plus ")).strip(" "))
 
 
 def fold(text: Column) -> Column:
@@ -57,8 +71,10 @@ def fold(text: Column) -> Column:
 
 
 def normalize_text(text: Column) -> Column:
-    folded = F.replace(F.replace(fold(F.coalesce(text, F.lit(""))), F.lit("&"), F.lit(" and ")), F.lit("+"), F.lit(" plus "))
-    return F.trim(F.regexp_replace(folded, SEPARATORS, " "))
+    text = F.coalesce(text, F.lit(""))
+    plain = text.rlike(r"^[\x00-\x7F]*$")
+    spelled = F.replace(F.replace(F.lower(text), F.lit("&"), F.lit(" and ")), F.lit("+"), F.lit(" plus "))
+    return F.coalesce(F.when(plain, F.trim(F.regexp_replace(spelled, _ASCII_SEPARATORS, " "))), _normalize_unicode(F.when(~plain, text)))
 
 
 def tokens(text: Column) -> Column:
@@ -67,7 +83,8 @@ def tokens(text: Column) -> Column:
 
 def expand(words: Column, table: dict[str, str]) -> Column:
     known = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.transform(words, lambda x: F.coalesce(F.try_element_at(known, x), x))
+    # a map is searched key by key, a set by hash
+    return F.transform(words, lambda x: F.when(x.isin(list(table)), F.try_element_at(known, x)).otherwise(x))
 
 
 def strip_legal(words: Column) -> Column:

@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators.blocking import BlockConfig, pairs
 
-#: Targets of a block and queries of a chunk at most; cells of the score table that a worker holds at once.
+#: Targets of a block and queries of a chunk at most; cells of the score table, and
+#: products, that a worker holds at once.
 BLOCK, CHUNK, CELLS = 50_000, 1_000_000, 1 << 22
 #: Pairs that are worth a group of their own.
 PAIRS = 1 << 24
@@ -74,7 +75,8 @@ def topk(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
     texts = texts[0].union(texts[1]).where("country is not null")
     own = dict(texts.dtypes)["id"]
     seen = texts.mapInArrow(_postings, f"country string, token string, kind int, ids array<{own}>, tfs array<int>")
-    seen = seen.repartition(_parts(queries), "country", "token").join(F.broadcast(n), "country").sortWithinPartitions("country", "token")
+    # without a number, so that small partitions are joined: the fewer there are, the longer are the pieces
+    seen = seen.repartition("country", "token").join(F.broadcast(n), "country").sortWithinPartitions("country", "token")
     pieces = seen.mapInArrow(_weighed(cfg), f"country string, kind int, id {own}, tokens string, w array<double>")
     return _best(pieces, queries, n.withColumnRenamed("n", "t"), cfg, dict(targets.dtypes)["tid"])
 
@@ -205,22 +207,27 @@ class _Postings:
         known = code >= 0
         sid, code, qw = sid[known], code[known], qw[known]
         edge = np.append(np.flatnonzero(np.diff(sid, prepend=sid[:1] - 1)), len(sid))
-        step, width = max(1, CELLS // len(self.tids)), len(self.tids)
-        for i in range(0, len(edge) - 1, step):
-            a, b = edge[i], edge[min(i + step, len(edge) - 1)]
-            own = np.searchsorted(edge, np.arange(a, b), "right") - 1 - i
-            size = self.first[code[a:b] + 1] - self.first[code[a:b]]
-            row = np.repeat(np.arange(b - a), size)
-            post = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.first[code[a:b]], size)
-            score = np.bincount(own[row] * width + self.at[post], qw[a:b][row] * self.w[post])
-            cell = np.flatnonzero(score)
-            score = np.round(score[cell], 6)
-            cell, score = cell[score > 0], score[score > 0]
-            query, tid = cell // width, self.tids[cell % width]
+        width = len(self.tids)
+        size = self.first[code + 1] - self.first[code]
+        # queries that go together: so many cells and products at most, one query at least
+        made = np.append(0, np.cumsum(size))[edge]
+        i = 0
+        while i < len(edge) - 1:
+            j = min(i + max(1, CELLS // width), max(i + 1, int(np.searchsorted(made, made[i] + CELLS, "right")) - 1), len(edge) - 1)
+            a, b = edge[i], edge[j]
+            own, n = np.searchsorted(edge, np.arange(a, b), "right") - 1 - i, size[a:b]
+            row = np.repeat(np.arange(b - a), n)
+            post = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[code[a:b]], n)
+            score = np.round(np.bincount(own[row] * width + self.at[post], qw[a:b][row] * self.w[post], (j - i) * width), 6).reshape(j - i, width)
+            # only what reaches the k-th score is sorted, ties with it included
+            least = np.partition(score, width - k, axis=1)[:, width - k] if k < width else np.zeros(j - i)
+            query, at = np.nonzero((score >= least[:, None]) & (score > 0))
+            score, tid = score[query, at], self.tids[at]
             order = np.lexsort((tid, -score, query))
             query, tid, score = query[order], tid[order], score[order]
             rank = np.arange(len(query)) - np.searchsorted(query, query)
             yield sid[edge[i + query]][rank < k], tid[rank < k], score[rank < k]
+            i = j
 
 
 def _products(k: int):

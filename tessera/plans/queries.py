@@ -255,9 +255,10 @@ def tfidf_vocab_whole(spark, sf_dir):
 
 @query
 def tfidf_topk_whole(spark, sf_dir):
-    """Over whole texts, with long vectors and long posting lists."""
-    d = Data(spark, sf_dir, True)
-    return tfidf.topk(d.q, d.t, d.cfg)
+    """Over whole texts, with long vectors and long posting lists.  They are read once, so nothing is staged."""
+    norm = N.normalize(raw(spark, sf_dir, True))
+    q, t = entities.queries_of(norm), entities.target_union(norm)
+    return tfidf.topk(q, t, cfg_of(t.count()))
 
 
 @query

@@ -103,17 +103,20 @@ def test_topk_against_plain(spark, monkeypatch, block, chunk, cells):
     assert got == plain_topk(q.where("country is not null").collect(), t.collect(), 4)
 
 
-def test_copies_do_not_follow_the_shuffle_partitions(spark, monkeypatch):
-    """A target goes to as many groups as the pairs are worth, also where a session has many partitions."""
+def counted(k):
+    """In place of the products: a row for each row of targets that comes."""
+
+    def run(batches):
+        for b in batches:
+            own = b.filter(pc.equal(b.column("kind"), 0))
+            n = own.num_rows
+            yield pa.RecordBatch.from_arrays([own.column("id"), pa.array([0] * n, pa.int64()), pa.array([1.0] * n)], names=["sid", "tid", "tfidf_score"])
 
-    def counted(k):
-        def run(batches):
-            for b in batches:
-                own = b.filter(pc.equal(b.column("kind"), 0))
-                n = own.num_rows
-                yield pa.RecordBatch.from_arrays([own.column("id"), pa.array([0] * n, pa.int64()), pa.array([1.0] * n)], names=["sid", "tid", "tfidf_score"])
+    return run
 
-        return run
+
+def test_copies_do_not_follow_the_shuffle_partitions(spark, monkeypatch):
+    """A target goes to as many groups as the pairs are worth, also where a session has many partitions."""
 
     q = rows(spark, "sid", [(i, "DE", "word", "", "") for i in range(1300)])
     t = rows(spark, "tid", [(5000 + i, "DE", "word", "", "") for i in range(10)])
@@ -129,6 +132,16 @@ def test_copies_do_not_follow_the_shuffle_partitions(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_vectors_travel_in_pieces(spark, monkeypatch):
+    """Of long texts too, what is shuffled is no row for each token: one for each task that weighs tokens, at most."""
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(400)]
+    make = lambda of, ids: rows(spark, of, [(i, "DE", "", " ".join(r.sample(words, 200)), "") for i in ids])
+    monkeypatch.setattr(tfidf, "_products", counted)
+    cfg = BlockConfig(min_df=1, max_df=10**6, k=10**6)
+    assert tfidf.topk(make("sid", range(20)), make("tid", range(100, 140)), cfg).count() <= 4 * 40
+
+
 def test_scaled_config():
     full = BlockConfig().scaled(10_320_219)
     assert (full.rare_max_df, full.addr_max_df, full.max_df) == (379, 1894, 56_814)
