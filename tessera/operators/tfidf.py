@@ -75,8 +75,10 @@ def topk(queries: DataFrame, targets: DataFrame, cfg: BlockConfig) -> DataFrame:
     texts = texts[0].union(texts[1]).where("country is not null")
     own = dict(texts.dtypes)["id"]
     seen = texts.mapInArrow(_postings, f"country string, token string, kind int, ids array<{own}>, tfs array<int>")
-    # without a number, so that small partitions are joined: the fewer there are, the longer are the pieces
-    seen = seen.repartition("country", "token").join(F.broadcast(n), "country").sortWithinPartitions("country", "token")
+    # the fewer partitions there are, the longer are the pieces
+    tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism
+    tasks = min(_parts(queries), max(tasks, (targets.count() + queries.count()) // BLOCK))
+    seen = seen.repartition(tasks, "country", "token").join(F.broadcast(n), "country").sortWithinPartitions("country", "token")
     pieces = seen.mapInArrow(_weighed(cfg), f"country string, kind int, id {own}, tokens string, w array<double>")
     return _best(pieces, queries, n.withColumnRenamed("n", "t"), cfg, dict(targets.dtypes)["tid"])
 
@@ -186,6 +188,16 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _packed(*_coded(rows["country"]), rows["kind"].to_numpy(), rows["id"].to_numpy(), *_coded(rows["token"]), rows["w"].to_numpy())
 
 
+def _reached(score: np.ndarray, k: int) -> np.ndarray:
+    """Of each row, a bound that its k best cells reach, as do all that are equal to them once they are rounded: the
+    k-th of the maxima of parts of the row."""
+    bound, parts = np.full(len(score), 1e-9), 8 * k
+    if score.shape[1] > 2 * parts:
+        most = np.maximum.reduceat(score, np.arange(parts) * score.shape[1] // parts, axis=1)
+        bound = np.maximum(bound, np.partition(most, parts - k, axis=1)[:, parts - k] - 2e-6)
+    return bound
+
+
 class _Postings:
     """The targets of a block by token."""
 
@@ -216,13 +228,13 @@ class _Postings:
             j = min(i + max(1, CELLS // width), max(i + 1, int(np.searchsorted(made, made[i] + CELLS, "right")) - 1), len(edge) - 1)
             a, b = edge[i], edge[j]
             own, n = np.searchsorted(edge, np.arange(a, b), "right") - 1 - i, size[a:b]
-            row = np.repeat(np.arange(b - a), n)
-            post = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[code[a:b]], n)
-            score = np.round(np.bincount(own[row] * width + self.at[post], qw[a:b][row] * self.w[post], (j - i) * width), 6).reshape(j - i, width)
-            # only what reaches the k-th score is sorted, ties with it included
-            least = np.partition(score, width - k, axis=1)[:, width - k] if k < width else np.zeros(j - i)
-            query, at = np.nonzero((score >= least[:, None]) & (score > 0))
-            score, tid = score[query, at], self.tids[at]
+            post = np.arange(n.sum()) + np.repeat(self.first[code[a:b]] - (np.cumsum(n) - n), n)
+            cell = np.repeat(own * width, n)
+            cell += self.at[post]
+            score = np.bincount(cell, np.repeat(qw[a:b], n) * self.w[post], (j - i) * width).reshape(j - i, width)
+            query, at = np.nonzero(score >= _reached(score, k)[:, None])
+            score, tid = np.round(score[query, at], 6), self.tids[at]
+            query, tid, score = query[score > 0], tid[score > 0], score[score > 0]
             order = np.lexsort((tid, -score, query))
             query, tid, score = query[order], tid[order], score[order]
             rank = np.arange(len(query)) - np.searchsorted(query, query)
