@@ -1,16 +1,22 @@
-"""Near-dedup as stages need it: exact Jaccard similarity of five-word shingles; minhash bands find the pairs to compare.
+"""Near-dedup as stages need it: SimHash by multi-index hashing over five-word shingles, then exact Jaccard similarity.
 
 A text is its set of shingles of `WORDS` words (lower-cased A-Z; fewer words:
 the whole sequence is the one shingle; none: the empty set).  Two texts are
 linked if |A & B| / |A | B| is `SHARE` or more, counted on the whole sets of
 64-bit hashes; components of links are the groups.
 
-Pairs come from `BANDS` bands of `ROWS` minhashes.  Two texts of similarity s
-share no band with probability (1 - s ** ROWS) ** BANDS: 8e-5 at 0.8, 2e-7 at
-0.85.  That is the only loss.  64-bit SimHash is not used for this: texts of
-similarity 0.8 differ in about 10 bits of 64, which no cheap segments cover.
-
-Equal sets are one node.  First each node of a band's bucket is compared with
+Pairs come from SimHash fingerprints: each bit is the majority of one bit of a
+hash over all shingles.  Texts of similarity 0.8 differ in about 15 % of the bits,
+so a fingerprint has more than 64: `layout` gives the number and the width of its
+segments, wider ones for more texts, so that a bucket of strangers stays small.
+Each segment is a table.  A text is entered under its segment and under those
+that differ in any of its `FLIPS` least certain bits, the ones with the closest
+votes; so two texts meet if all bits that differ are uncertain in one or the
+other.  In a bucket those whose other `SKETCH` bits differ in `APART` at most stay
+together; the others met by chance.  This choice of pairs is the only loss
+(README has its size); what it finds is compared exactly.
+
+Equal sets are one node.  First each node of a bucket is compared with
 the bucket's least, so that a group of g near copies costs g comparisons, not
 g * g / 2.  Then buckets whose members are still in different components are
 searched by growing them, with sets at hand, whatever their size.  Only texts that share a bucket are read
@@ -34,14 +40,27 @@ from pyspark.sql import functions as F
 from tessera.llm._shared import parts, settled
 from tessera.llm.components import components
 
-WORDS, SEED, BANDS, ROWS = 5, 42, 40, 7
+WORDS, SEED = 5, 42
 #: Similarity of links as a fraction, so that it is compared in whole numbers.
 SHARE = (4, 5)
-#: Share of equal minhashes below which a bucket's pair is not counted exactly; five standard errors below 0.8.
-MAYBE = 0.68
+#: Least certain bits of a segment that are tried both ways.
+FLIPS = 3
+#: Bits beside the segments, and how many of them may differ: strangers differ in 32 on average, texts of similarity 0.8 in 10.
+SKETCH, APART = 64, 22
+#: Minhashes by which pairs of a mixed bucket are told apart, and the share of equal ones below which they are not
+#: counted exactly; five standard errors below 0.8.
+MINHASHES, MAYBE = 280, 0.68
 _r = np.random.default_rng(SEED)
-_XOR, _ODD, _MIX = (_r.integers(0, 1 << 64, n, np.uint64) | np.uint64(1) for n in (BANDS * ROWS, BANDS * ROWS, BANDS * ROWS))
+_XOR, _ODD = (_r.integers(0, 1 << 64, MINHASHES, np.uint64) | np.uint64(1) for _ in range(2))
 _CHUNK = 1024
+#: Up to so many rows of a bucket are compared by shifts, more by growing; the groups are the same.
+_SMALL = 64
+
+
+def layout(n: int) -> tuple[int, int]:
+    """(segments, width) for n texts."""
+    width = max(20, n.bit_length() + 2)
+    return 18 + 3 * (width - 20), width
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -53,19 +72,46 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def minhashes(sets: list[np.ndarray]) -> np.ndarray:
-    least = np.full((len(sets), BANDS * ROWS), np.iinfo(np.uint64).max, np.uint64)
+    least = np.full((len(sets), MINHASHES), np.iinfo(np.uint64).max, np.uint64)
     for row, own in zip(least, sets, strict=True):
         for i in range(0, len(own), _CHUNK):
             np.minimum(row, ((own[i : i + _CHUNK, None] ^ _XOR) * _ODD).min(axis=0), out=row)
     return least
 
 
-def bands(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of BANDS keys for each set."""
-    least = minhashes(sets)
-    mixed = (least ^ (least >> np.uint64(29))) * _MIX
-    keys = mixed.reshape(len(sets), BANDS, ROWS).sum(axis=2, dtype=np.uint64)
-    return keys ^ (keys >> np.uint64(32))
+def votes(own: np.ndarray, bits: int) -> np.ndarray:
+    """For each bit of a fingerprint, twice the shingles that set it, less all shingles."""
+    words = np.arange(1, -(-bits // 64) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    ones = np.zeros(len(words) * 64, np.int64)
+    for i in range(0, len(own), 255):  # what fits a byte
+        x = own[i : i + 255, None] + words
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        ones += np.add.reduce(np.unpackbits(x.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return (2 * ones - len(own))[:bits]
+
+
+def fingerprints(sets: list[np.ndarray], segments: int, width: int) -> np.ndarray:
+    """A row for each set: the sketch, each segment, and for each segment a mask of its least certain bits."""
+    found = np.array([votes(s, SKETCH + segments * width) for s in sets]).reshape(len(sets), -1)
+    sketch = (found[:, :SKETCH] > 0) @ (np.uint64(1) << np.arange(SKETCH, dtype=np.uint64))
+    own = found[:, SKETCH:].reshape(-1, segments, width)
+    weight = np.int64(1) << np.arange(width)
+    # ties by place, so that equal sets have equal masks
+    unsure = np.argsort(np.abs(own), axis=2, kind="stable")[:, :, :FLIPS]
+    return np.concatenate((sketch.view(np.int64)[:, None], (own > 0) @ weight, weight[unsure].sum(axis=2)), axis=1)
+
+
+def places(prints: np.ndarray) -> np.ndarray:
+    """The buckets of each fingerprint: (texts, places)."""
+    segments = prints.shape[1] // 2
+    value, mask, parts = prints[:, 1 : 1 + segments, None], prints[:, 1 + segments :].copy(), []
+    for _ in range(FLIPS):
+        parts.append(mask & -mask)
+        mask &= mask - 1
+    flips = np.stack([sum((p for k, p in enumerate(parts) if some >> k & 1), np.zeros_like(mask)) for some in range(1 << FLIPS)], axis=2)
+    return ((value ^ flips) | (np.arange(segments)[:, None] << 48)).reshape(len(prints), -1)
 
 
 def _node(own: np.ndarray) -> int:
@@ -80,13 +126,95 @@ def _signed(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _printed(segments: int, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                some = batch.slice(i, 256)
+                sets = [shingles(t.as_py()) for t in some.column(2)]
+                found = fingerprints(sets, segments, width)
+                prints = _lists(found.reshape(-1), [found.shape[1]] * len(sets))
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), _signed([_node(s) for s in sets]), pa.array([len(s) for s in sets], pa.int64()), prints], names=["doc_id", "version", "node", "n", "print"])
+
+    return run
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, print) as (key, node, sketch), a row for each place."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 512):
+            some = batch.slice(i, 512)
+            prints = some.column(1).flatten().to_numpy().reshape(some.num_rows, -1)
+            keys = places(prints)
+            node, sketch = (np.repeat(x, keys.shape[1]) for x in (some.column(0).to_numpy(), prints[:, 0]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys.reshape(-1), node, sketch)], names=["key", "node", "sketch"])
+
+
+def _close(keys: np.ndarray, sketch: np.ndarray) -> list[list[int]]:
+    """The groups of rows of one key that close sketches join, two rows or more each."""
+    edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
+    size = np.diff(edge)
+    few = np.flatnonzero(np.repeat((size > 1) & (size <= _SMALL), size))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for step in range(1, _SMALL):
+        same = keys[few[step:]] == keys[few[:-step]]
+        if not same.any():
+            break
+        near = np.flatnonzero(same & (np.bitwise_count(sketch[few[step:]] ^ sketch[few[:-step]]) <= APART))
+        for x, y in zip(few[near].tolist(), few[near + step].tolist(), strict=True):
+            low, high = sorted((find(x), find(y)))
+            root[high] = low
+    groups: dict[int, list[int]] = {}
+    for x in list(root):
+        groups.setdefault(find(x), []).append(x)
+    out = list(groups.values())
+    for k in np.flatnonzero(size > _SMALL):
+        rest = np.arange(edge[k], edge[k + 1])
+        while len(rest):
+            group, front, rest = [rest[0]], [rest[0]], rest[1:]
+            while front and len(rest):
+                hit = np.bitwise_count(sketch[rest] ^ sketch[front.pop()]) <= APART
+                front += rest[hit].tolist()
+                group += rest[hit].tolist()
+                rest = rest[~hit]
+            if len(group) > 1:
+                out.append(group)
+    return out
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, node, sketch), sorted by key, as (key, node, lead): the groups of nodes that met, each once."""
+    held, known = [np.empty(0, np.int64)] * 3, set()
+
+    def made(key: np.ndarray, node: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+        names, nodes, leads = [], [], []
+        for group in _close(key, sketch.view(np.uint64)):
+            own = np.sort(node[group])
+            name = xxhash.xxh64_intdigest(own.tobytes(), SEED)
+            if name not in known:
+                if len(known) >= 1 << 20:
+                    known.clear()
+                known.add(name)
+                names += [name] * len(own)
+                nodes += own.tolist()
+                leads += [int(own[0])] * len(own)
+        return pa.RecordBatch.from_arrays([_signed(names), pa.array(nodes, pa.int64()), pa.array(leads, pa.int64())], names=["key", "node", "lead"])
+
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            some = batch.slice(i, 256)
-            sets = [shingles(t.as_py()) for t in some.column(2)]
-            keys = _lists(bands(sets).reshape(-1), [BANDS] * len(sets))
-            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), _signed([_node(s) for s in sets]), pa.array([len(s) for s in sets], pa.int64()), keys], names=["doc_id", "version", "node", "n", "keys"])
+        held = [np.concatenate((x, batch.column(k).to_numpy())) for k, x in enumerate(held)]
+        if len(held[0]):
+            done = int(np.searchsorted(held[0], held[0][-1]))
+            if done:
+                yield made(*[x[:done] for x in held])
+                held = [x[done:] for x in held]
+    if len(held[0]):
+        yield made(*held)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +235,7 @@ def _grown(nodes: list[int], roots: np.ndarray, sets: list[np.ndarray]) -> list[
         while front and len(rest):
             x = front.pop()
             maybe = rest[down * np.minimum(size[rest], size[x]) >= up * np.maximum(size[rest], size[x])]
-            maybe = maybe[(least[maybe] == least[x]).sum(axis=1) >= MAYBE * BANDS * ROWS]
+            maybe = maybe[(least[maybe] == least[x]).sum(axis=1) >= MAYBE * MINHASHES]
             hits = [y for y in maybe.tolist() if (up + down) * len(np.intersect1d(sets[x], sets[y], True)) >= up * (size[x] + size[y])]
             if hits:
                 out += [(nodes[x], nodes[y]) for y in hits]
@@ -152,18 +280,13 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(f"{up + down} * same >= {up} * (size(a_own) + size(b_own))").select("a", "b")
 
 
-def _close(a: str, b: str) -> str:
-    """Sets whose sizes alone do not rule the similarity out."""
-    return f"{SHARE[1]} * least({a}, {b}) >= {SHARE[0]} * greatest({a}, {b})"
-
-
 def near_links(docs: DataFrame, prints: DataFrame) -> DataFrame:
     """(a, b): links between different nodes, enough of them to give the components of all links."""
-    each = prints.groupBy("node").agg(F.min(F.struct("doc_id", "version")).alias("one"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    rows = settled(each.where("n > 0")).select("node", "n", F.explode("keys").alias("key"))
-    lead = rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("count")).where("count > 1").drop("count")
-    shared = settled(rows.join(lead, "key"))
-    first = settled(shared.where(f"lead.node <> node and {_close('lead.n', 'n')}").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct())
+    each = prints.groupBy("node").agg(F.min(F.struct("doc_id", "version")).alias("one"), F.first("n").alias("n"), F.first("print").alias("print"))
+    rows = each.where("n > 0").select("node", "print").mapInArrow(_placed, "key long, node long, sketch long")
+    rows = rows.repartition(parts(docs.sparkSession), "key").sortWithinPartitions("key")
+    shared = settled(rows.mapInArrow(_met, "key long, node long, lead long").distinct())
+    first = settled(shared.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
     # all that share a bucket are read again, as the second step compares any of them
     wanted = shared.select("node").distinct().join(each.select("node", "one"), "node").select("node", "one.doc_id", "one.version")
     texts = docs.select("doc_id", "text").withColumn("version", version()).join(wanted, ["doc_id", "version"]).dropDuplicates(["node"])
@@ -180,7 +303,8 @@ def near_links(docs: DataFrame, prints: DataFrame) -> DataFrame:
 def near_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, version (the hash of the text), root (one of each component), component_id, its least doc_id."""
     kind = dict(docs.dtypes)["doc_id"]
-    prints = settled(docs.select("doc_id", version().alias("version"), "text").mapInArrow(_keyed, f"doc_id {kind}, version long, node long, n long, keys array<long>"))
+    run = _printed(*layout(docs.count()))
+    prints = settled(docs.select("doc_id", version().alias("version"), "text").mapInArrow(run, f"doc_id {kind}, version long, node long, n long, print array<long>"))
     tree = components(near_links(docs, prints))
     roots = prints.select("doc_id", "version", "node").join(tree, "node", "left").select("doc_id", "version", F.coalesce("root", "node").alias("root"))
     named = settled(roots.groupBy("root").agg(F.min("doc_id").alias("component_id")))  # so that AQE can split a hot root

@@ -1,6 +1,10 @@
 import random
+from itertools import combinations
+
+import numpy as np
 
 import corpus_pipeline
+from tessera.llm import near
 from tests.llm import test_pipeline
 from tests.llm.test_pipeline import groups
 
@@ -48,3 +52,36 @@ def test_one_doc_id_with_different_texts(spark, make):
         kept = corpus_pipeline.near_dedup(spark, make([t for _, t in rows], [i for i, _ in rows]), "").collect()
         found = sorted((d.doc_id, d.text.lower()) for d in kept)
         assert found == sorted([(3, c), (7, a), (7, b)])
+
+
+def test_pairs_come_from_simhash():
+    """Fingerprints against plain majorities; texts of similarity 0.8 meet in some table, strangers do not stay together."""
+    r = np.random.default_rng(4)
+    bits = lambda own, k: [(int(h) + (k // 64 + 1) * 0x9E3779B97F4A7C15) % 2**64 for h in own]
+
+    def bit(x, k):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        x ^= x >> 31
+        return x.to_bytes(8, "little")[k % 64 // 8] >> (7 - k % 8) & 1
+
+    own = r.integers(0, 1 << 64, 600, np.uint64)
+    votes = near.votes(own, 150)
+    assert votes.tolist() == [sum(2 * bit(x, k) - 1 for x in bits(own, k)) for k in range(150)]
+    [print_] = near.fingerprints([own], 4, 20)
+    votes = near.votes(own, 64 + 80)
+    assert int(print_[0]) % 2**64 == sum(int(v > 0) << k for k, v in enumerate(votes[:64]))
+    for s in range(4):
+        part = votes[64 + 20 * s : 84 + 20 * s]
+        value = sum(int(v > 0) << k for k, v in enumerate(part))
+        unsure = sorted(range(20), key=lambda k: abs(part[k]))[: near.FLIPS]
+        want = {s << 48 | value ^ sum(1 << k for k in some) for n in range(near.FLIPS + 1) for some in combinations(unsure, n)}
+        assert set(near.places(print_[None])[0, 8 * s : 8 * s + 8].tolist()) == want
+    pairs = [r.integers(0, 1 << 64, 2 * 180 - 160, np.uint64) for _ in range(200)]
+    a, b = (near.fingerprints([p[at] for p in pairs], *near.layout(100)) for at in (slice(0, 180), slice(20, 200)))
+    met = [set(x) & set(y) for x, y in zip(near.places(a).tolist(), near.places(b).tolist(), strict=True)]
+    assert sum(map(bool, met)) >= 198
+    sketch = np.concatenate((a[:, 0], b[:, 0])).view(np.uint64)
+    for n in (3, 200):  # by shifts, and by growing
+        some = np.concatenate((sketch[:n], sketch[200 : 200 + n]))
+        assert sorted(map(sorted, near._close(np.zeros(2 * n, np.int64), some))) == [[k, n + k] for k in range(n)]
