@@ -45,8 +45,9 @@ WORDS, SEED = 5, 42
 SHARE = (4, 5)
 #: Least certain bits of a segment that are tried both ways.
 FLIPS = 3
-#: Bits beside the segments, and how many of them may differ: strangers differ in 32 on average, texts of similarity 0.8 in 10.
-SKETCH, APART = 64, 22
+#: Bits beside the segments, two longs, and how many of them may differ: strangers differ in 64 on average, texts of
+#: similarity 0.8 in 19.
+SKETCH, APART = 128, 36
 #: Minhashes by which pairs of a mixed bucket are told apart, and the share of equal ones below which they are not
 #: counted exactly; five standard errors below 0.8.
 MINHASHES, MAYBE = 280, 0.68
@@ -95,18 +96,18 @@ def votes(own: np.ndarray, bits: int) -> np.ndarray:
 def fingerprints(sets: list[np.ndarray], segments: int, width: int) -> np.ndarray:
     """A row for each set: the sketch, each segment, and for each segment a mask of its least certain bits."""
     found = np.array([votes(s, SKETCH + segments * width) for s in sets]).reshape(len(sets), -1)
-    sketch = (found[:, :SKETCH] > 0) @ (np.uint64(1) << np.arange(SKETCH, dtype=np.uint64))
+    sketch = (found[:, :SKETCH].reshape(-1, 2, 64) > 0) @ (np.uint64(1) << np.arange(64, dtype=np.uint64))
     own = found[:, SKETCH:].reshape(-1, segments, width)
     weight = np.int64(1) << np.arange(width)
     # ties by place, so that equal sets have equal masks
     unsure = np.argsort(np.abs(own), axis=2, kind="stable")[:, :, :FLIPS]
-    return np.concatenate((sketch.view(np.int64)[:, None], (own > 0) @ weight, weight[unsure].sum(axis=2)), axis=1)
+    return np.concatenate((sketch.view(np.int64), (own > 0) @ weight, weight[unsure].sum(axis=2)), axis=1)
 
 
 def places(prints: np.ndarray) -> np.ndarray:
     """The buckets of each fingerprint: (texts, places)."""
-    segments = prints.shape[1] // 2
-    value, mask, parts = prints[:, 1 : 1 + segments, None], prints[:, 1 + segments :].copy(), []
+    segments = prints.shape[1] // 2 - 1
+    value, mask, parts = prints[:, 2 : 2 + segments, None], prints[:, 2 + segments :].copy(), []
     for _ in range(FLIPS):
         parts.append(mask & -mask)
         mask &= mask - 1
@@ -140,14 +141,18 @@ def _printed(segments: int, width: int):
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, print) as (key, node, sketch), a row for each place."""
+    """Rows (node, print) as (key, node, low, high), a row for each place."""
     for batch in batches:
         for i in range(0, batch.num_rows, 512):
             some = batch.slice(i, 512)
             prints = some.column(1).flatten().to_numpy().reshape(some.num_rows, -1)
             keys = places(prints)
-            node, sketch = (np.repeat(x, keys.shape[1]) for x in (some.column(0).to_numpy(), prints[:, 0]))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys.reshape(-1), node, sketch)], names=["key", "node", "sketch"])
+            own = [np.repeat(x, keys.shape[1]) for x in (some.column(0).to_numpy(), prints[:, 0], prints[:, 1])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys.reshape(-1), *own)], names=["key", "node", "low", "high"])
+
+
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=1) > APART
 
 
 def _close(keys: np.ndarray, sketch: np.ndarray) -> list[list[int]]:
@@ -166,7 +171,8 @@ def _close(keys: np.ndarray, sketch: np.ndarray) -> list[list[int]]:
         same = keys[few[step:]] == keys[few[:-step]]
         if not same.any():
             break
-        near = np.flatnonzero(same & (np.bitwise_count(sketch[few[step:]] ^ sketch[few[:-step]]) <= APART))
+        near = np.flatnonzero(same)
+        near = near[~_far(sketch[few[near]], sketch[few[near + step]])]
         for x, y in zip(few[near].tolist(), few[near + step].tolist(), strict=True):
             low, high = sorted((find(x), find(y)))
             root[high] = low
@@ -179,7 +185,7 @@ def _close(keys: np.ndarray, sketch: np.ndarray) -> list[list[int]]:
         while len(rest):
             group, front, rest = [rest[0]], [rest[0]], rest[1:]
             while front and len(rest):
-                hit = np.bitwise_count(sketch[rest] ^ sketch[front.pop()]) <= APART
+                hit = ~_far(sketch[rest], sketch[front.pop()])
                 front += rest[hit].tolist()
                 group += rest[hit].tolist()
                 rest = rest[~hit]
@@ -189,12 +195,12 @@ def _close(keys: np.ndarray, sketch: np.ndarray) -> list[list[int]]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node, sketch), sorted by key, as (key, node, lead): the groups of nodes that met, each once."""
-    held, known = [np.empty(0, np.int64)] * 3, set()
+    """Rows (key, node, low, high), sorted by key, as (key, node, lead): the groups of nodes that met, each once."""
+    held, known = [np.empty(0, np.int64)] * 4, set()
 
-    def made(key: np.ndarray, node: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+    def made(key: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
         names, nodes, leads = [], [], []
-        for group in _close(key, sketch.view(np.uint64)):
+        for group in _close(key, np.stack((low, high), axis=1).view(np.uint64)):
             own = np.sort(node[group])
             name = xxhash.xxh64_intdigest(own.tobytes(), SEED)
             if name not in known:
@@ -283,7 +289,7 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def near_links(docs: DataFrame, prints: DataFrame) -> DataFrame:
     """(a, b): links between different nodes, enough of them to give the components of all links."""
     each = prints.groupBy("node").agg(F.min(F.struct("doc_id", "version")).alias("one"), F.first("n").alias("n"), F.first("print").alias("print"))
-    rows = each.where("n > 0").select("node", "print").mapInArrow(_placed, "key long, node long, sketch long")
+    rows = each.where("n > 0").select("node", "print").mapInArrow(_placed, "key long, node long, low long, high long")
     rows = rows.repartition(parts(docs.sparkSession), "key").sortWithinPartitions("key")
     shared = settled(rows.mapInArrow(_met, "key long, node long, lead long").distinct())
     first = settled(shared.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())

@@ -69,10 +69,10 @@ def test_pairs_come_from_simhash():
     votes = near.votes(own, 150)
     assert votes.tolist() == [sum(2 * bit(x, k) - 1 for x in bits(own, k)) for k in range(150)]
     [print_] = near.fingerprints([own], 4, 20)
-    votes = near.votes(own, 64 + 80)
-    assert int(print_[0]) % 2**64 == sum(int(v > 0) << k for k, v in enumerate(votes[:64]))
+    votes = near.votes(own, 128 + 80)
+    assert [int(x) % 2**64 for x in print_[:2]] == [sum(int(v > 0) << k for k, v in enumerate(votes[i : i + 64])) for i in (0, 64)]
     for s in range(4):
-        part = votes[64 + 20 * s : 84 + 20 * s]
+        part = votes[128 + 20 * s : 148 + 20 * s]
         value = sum(int(v > 0) << k for k, v in enumerate(part))
         unsure = sorted(range(20), key=lambda k: abs(part[k]))[: near.FLIPS]
         want = {s << 48 | value ^ sum(1 << k for k in some) for n in range(near.FLIPS + 1) for some in combinations(unsure, n)}
@@ -81,7 +81,7 @@ def test_pairs_come_from_simhash():
     a, b = (near.fingerprints([p[at] for p in pairs], *near.layout(100)) for at in (slice(0, 180), slice(20, 200)))
     met = [set(x) & set(y) for x, y in zip(near.places(a).tolist(), near.places(b).tolist(), strict=True)]
     assert sum(map(bool, met)) >= 198
-    sketch = np.concatenate((a[:, 0], b[:, 0])).view(np.uint64)
+    sketch = np.concatenate((a[:, :2], b[:, :2])).view(np.uint64)
     for n in (3, 200):  # by shifts, and by growing
         some = np.concatenate((sketch[:n], sketch[200 : 200 + n]))
         assert sorted(map(sorted, near._close(np.zeros(2 * n, np.int64), some))) == [[k, n + k] for k in range(n)]
