@@ -17,10 +17,13 @@ together; the others met by chance.  This choice of pairs is the only loss
 (README has its size); what it finds is compared exactly.
 
 Equal sets are one node.  First each node of a bucket is compared with
-the bucket's least, so that a group of g near copies costs g comparisons, not
-g * g / 2.  Then buckets whose members are still in different components are
-searched by growing them, with sets at hand, whatever their size.  Only texts that share a bucket are read
-again for their sets.
+the bucket's least, its lead, so that a group of g near copies costs g comparisons, not
+g * g / 2.  Buckets of one lead overlap, so they are one from then on: a node is there once
+for each lead it met, not for each bucket.  In those, members that cannot be similar to any
+of another component go (`_maybe`, a bound that loses none), and the others are
+searched by growing them, with sets at hand, whatever their number.  A node has
+at most as many leads as places, so rows follow the number of texts, also in a group of any size.
+Only texts that share a bucket are read again for their sets.
 
 Defined cases.  Null text: as empty.  Very long texts: whole sets, a text at a
 time.  Null doc_id: counts for no component_id.  Rows that repeat: one group.
@@ -54,6 +57,8 @@ MINHASHES, MAYBE = 280, 0.68
 _r = np.random.default_rng(SEED)
 _XOR, _ODD = (_r.integers(0, 1 << 64, MINHASHES, np.uint64) | np.uint64(1) for _ in range(2))
 _CHUNK = 1024
+#: Cells of a set's parities, in words of 64; two sets differ in as many shingles at least as in parities.
+_CELLS = 32
 #: Up to so many rows of a bucket are compared by shifts, more by growing; the groups are the same.
 _SMALL = 64
 
@@ -80,6 +85,12 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return least
 
 
+def parities(own: np.ndarray) -> np.ndarray:
+    """For each cell, whether an odd number of hashes falls into it, as words."""
+    odd = np.bincount((own >> np.uint64(64 - (64 * _CELLS - 1).bit_length())).astype(np.int64), minlength=64 * _CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def votes(own: np.ndarray, bits: int) -> np.ndarray:
     """For each bit of a fingerprint, twice the shingles that set it, less all shingles."""
     words = np.arange(1, -(-bits // 64) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -195,11 +206,11 @@ def _close(keys: np.ndarray, sketch: np.ndarray) -> list[list[int]]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node, low, high), sorted by key, as (key, node, lead): the groups of nodes that met, each once."""
+    """Rows (key, node, low, high), sorted by key, as (lead, node): the least of the nodes that met, and each of them."""
     held, known = [np.empty(0, np.int64)] * 4, set()
 
     def made(key: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
-        names, nodes, leads = [], [], []
+        nodes, leads = [], []
         for group in _close(key, np.stack((low, high), axis=1).view(np.uint64)):
             own = np.sort(node[group])
             name = xxhash.xxh64_intdigest(own.tobytes(), SEED)
@@ -207,10 +218,9 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(known) >= 1 << 20:
                     known.clear()
                 known.add(name)
-                names += [name] * len(own)
                 nodes += own.tolist()
                 leads += [int(own[0])] * len(own)
-        return pa.RecordBatch.from_arrays([_signed(names), pa.array(nodes, pa.int64()), pa.array(leads, pa.int64())], names=["key", "node", "lead"])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (leads, nodes)], names=["lead", "node"])
 
     for batch in batches:
         held = [np.concatenate((x, batch.column(k).to_numpy())) for k, x in enumerate(held)]
@@ -228,7 +238,57 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(0, batch.num_rows, 64):
             some = batch.slice(i, 64)
             sets = [shingles(t.as_py()) for t in some.column(1)]
-            yield pa.RecordBatch.from_arrays([some.column(0), _lists(np.concatenate(sets), [len(s) for s in sets])], names=["node", "own"])
+            odd = _lists(np.concatenate([parities(s) for s in sets]), [_CELLS] * len(sets))
+            yield pa.RecordBatch.from_arrays([some.column(0), _lists(np.concatenate(sets), [len(s) for s in sets]), odd], names=["node", "own", "odd"])
+
+
+def _alive(lead: np.ndarray, root: np.ndarray, size: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    """Which rows may be similar to a row of the same lead and another root: the symmetric difference of their sets is
+    not too large by parities or by size.  Rows come sorted by lead."""
+    up, down = SHARE
+    alive = np.zeros(len(lead), bool)
+
+    def look(x: np.ndarray, y: np.ndarray) -> None:
+        some = (root[x] != root[y]) & (down * np.minimum(size[x], size[y]) >= up * np.maximum(size[x], size[y]))
+        x, y = x[some], y[some]
+        apart = np.bitwise_count(odd[x] ^ odd[y]).sum(axis=1, dtype=np.int64)
+        some = (up + down) * apart <= (down - up) * (size[x] + size[y])
+        alive[x[some]] = alive[y[some]] = True
+
+    edge = np.flatnonzero(np.concatenate(([True], lead[1:] != lead[:-1], [True])))
+    count = np.diff(edge)
+    few = np.flatnonzero(np.repeat((count > 1) & (count <= _SMALL), count))
+    for step in range(1, _SMALL):
+        near = few[:-step][lead[few[step:]] == lead[few[:-step]]]
+        if not len(near):
+            break
+        for i in range(0, len(near), 1 << 14):
+            look(near[i : i + (1 << 14)], near[i : i + (1 << 14)] + step)
+    for k in np.flatnonzero(count > _SMALL):
+        for x in range(edge[k], edge[k + 1] - 1):
+            rest = np.arange(x + 1, edge[k + 1])
+            look(np.full(len(rest), x), rest)
+    return alive
+
+
+def _maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lead, node, root, n, odd), sorted by lead, as (lead, node, root): those that `_alive` keeps."""
+    held = [*[np.empty(0, np.int64)] * 4, np.empty((0, _CELLS), np.int64)]
+
+    def made(lead: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray, odd: np.ndarray) -> pa.RecordBatch:
+        stay = _alive(lead, root, n, odd.view(np.uint64))
+        return pa.RecordBatch.from_arrays([pa.array(x[stay]) for x in (lead, node, root)], names=["lead", "node", "root"])
+
+    for batch in batches:
+        new = [batch.column(k).to_numpy() for k in range(4)] + [batch.column(4).flatten().to_numpy().reshape(-1, _CELLS)]
+        held = [np.concatenate(x) for x in zip(held, new, strict=True)]
+        if len(held[0]):
+            done = int(np.searchsorted(held[0], held[0][-1]))
+            if done:
+                yield made(*[x[:done] for x in held])
+                held = [x[done:] for x in held]
+    if len(held[0]):
+        yield made(*held)
 
 
 def _grown(nodes: list[int], roots: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -252,7 +312,7 @@ def _grown(nodes: list[int], roots: np.ndarray, sets: list[np.ndarray]) -> list[
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node, root, own) come sorted by key; a bucket may run over several batches."""
+    """Rows (lead, node, root, own) come sorted by lead; a bucket may run over several batches."""
     last, nodes, roots, sets = None, [], [], []
 
     def made() -> pa.RecordBatch:
@@ -291,18 +351,19 @@ def near_links(docs: DataFrame, prints: DataFrame) -> DataFrame:
     each = prints.groupBy("node").agg(F.min(F.struct("doc_id", "version")).alias("one"), F.first("n").alias("n"), F.first("print").alias("print"))
     rows = each.where("n > 0").select("node", "print").mapInArrow(_placed, "key long, node long, low long, high long")
     rows = rows.repartition(parts(docs.sparkSession), "key").sortWithinPartitions("key")
-    shared = settled(rows.mapInArrow(_met, "key long, node long, lead long").distinct())
-    first = settled(shared.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
+    shared = settled(rows.mapInArrow(_met, "lead long, node long").distinct())
+    first = shared.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b"))
     # all that share a bucket are read again, as the second step compares any of them
     wanted = shared.select("node").distinct().join(each.select("node", "one"), "node").select("node", "one.doc_id", "one.version")
     texts = docs.select("doc_id", "text").withColumn("version", version()).join(wanted, ["doc_id", "version"]).dropDuplicates(["node"])
-    sets = settled(texts.select("node", "text").mapInArrow(_sets, "node long, own array<long>"))
+    sets = settled(texts.select("node", "text").mapInArrow(_sets, "node long, own array<long>, odd array<long>"))
     found = settled(_alike(first, sets))
-    rooted = shared.join(components(found), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    rooted = settled(rooted)
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    rows = rooted.join(mixed, "key").join(sets, "node").select("key", "node", "root", "own")
-    rows = rows.repartition(parts(docs.sparkSession), "key").sortWithinPartitions("key")
+    of = sets.select("node", F.size("own").cast("long").alias("n"), "odd").join(components(found), "node", "left")
+    of = of.select("node", F.coalesce("root", "node").alias("root"), "n", "odd")
+    rows = shared.join(of, "node").select("lead", "node", "root", "n", "odd")
+    rows = rows.repartition(parts(docs.sparkSession), "lead").sortWithinPartitions("lead")
+    rows = rows.mapInArrow(_maybe, "lead long, node long, root long").join(sets.select("node", "own"), "node").select("lead", "node", "root", "own")
+    rows = rows.repartition(parts(docs.sparkSession), "lead").sortWithinPartitions("lead")
     return found.union(rows.mapInArrow(_bucket_links, "a long, b long"))
 
 

@@ -85,3 +85,50 @@ def test_pairs_come_from_simhash():
     for n in (3, 200):  # by shifts, and by growing
         some = np.concatenate((sketch[:n], sketch[200 : 200 + n]))
         assert sorted(map(sorted, near._close(np.zeros(2 * n, np.int64), some))) == [[k, n + k] for k in range(n)]
+
+
+def joined(plan):
+    """Rows that each join of a plan that ran has made."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan" or name.endswith("QueryStage"):
+        return joined(plan.executedPlan() if name == "AdaptiveSparkPlan" else plan.plan())
+    own = [plan.metrics().get("numOutputRows").get().value()] if "Join" in name else []
+    return sum((joined(plan.children().apply(i)) for i in range(plan.children().size())), own)
+
+
+def test_sets_of_a_family_are_not_read_for_each_bucket(spark, make):
+    """Texts that meet in many buckets and are not similar enough, and one pair among them that is."""
+    r = random.Random(9)
+    base = " ".join(f"w{k}" for k in range(200))
+    texts = [changed(r, base, 4) for _ in range(150)]
+    texts.append(changed(r, texts[70], 1))
+    assert groups(texts) == list(range(150))
+    docs = make(texts)
+    run = near._printed(*near.layout(len(texts)))
+    prints = near.settled(docs.select("doc_id", near.version().alias("version"), "text").mapInArrow(run, "doc_id long, version long, node long, n long, print array<long>"))
+    links = near.near_links(docs, prints)
+    of = {x.node: x.doc_id for x in prints.collect()}
+    assert {tuple(sorted((of[a], of[b]))) for a, b in links.collect()} == {(70, 150)}
+    rows = joined(links._jdf.queryExecution().executedPlan())
+    assert len(rows) >= 2 and sum(rows) < 60 * len(texts)
+
+
+def test_parities_bound_the_difference():
+    """Rows that stay are at least those of which another root of the same lead is similar enough."""
+    r = np.random.default_rng(7)
+    sets, leads = [], []
+    for lead, count in ((1, 1), (2, 40), (3, 100), (4, 2)):
+        pool = r.integers(0, 1 << 64, 400, np.uint64)
+        for _ in range(count):
+            n = r.integers(1, 30) if lead == 4 else r.integers(280, 400)
+            sets.append(np.unique(r.choice(pool, n, replace=False)))
+            leads.append(lead)
+    odd = np.array([near.parities(x) for x in sets]).view(np.uint64)
+    size, root = np.array([len(x) for x in sets]), np.arange(len(sets)) // 2
+    for a, b in combinations(range(len(sets)), 2):
+        apart = int(np.bitwise_count(odd[a] ^ odd[b]).sum())
+        assert apart <= len(np.setxor1d(sets[a], sets[b])) and (apart - len(np.setxor1d(sets[a], sets[b]))) % 2 == 0
+    similar = lambda a, b: 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))
+    want = {x for p in combinations(range(len(sets)), 2) if leads[p[0]] == leads[p[1]] and root[p[0]] != root[p[1]] and similar(*p) for x in p}
+    stay = set(np.flatnonzero(near._alive(np.array(leads), root, size, odd)).tolist())
+    assert want <= stay and 10 < len(want) and len(stay) < len(sets)
