@@ -265,9 +265,13 @@ def _alive(lead: np.ndarray, root: np.ndarray, size: np.ndarray, odd: np.ndarray
         for i in range(0, len(near), 1 << 14):
             look(near[i : i + (1 << 14)], near[i : i + (1 << 14)] + step)
     for k in np.flatnonzero(count > _SMALL):
-        for x in range(edge[k], edge[k + 1] - 1):
-            rest = np.arange(x + 1, edge[k + 1])
-            look(np.full(len(rest), x), rest)
+        at = slice(edge[k], edge[k + 1])
+        _, own, often = np.unique(root[at], return_inverse=True, return_counts=True)
+        # of two roots one is not the most frequent, so a large component is not compared with itself
+        less = own != often.argmax()
+        rest = edge[k] + np.concatenate((np.flatnonzero(less), np.flatnonzero(~less)))
+        for n, x in enumerate(rest[: less.sum()], 1):
+            look(np.full(len(rest) - n, x), rest[n:])
     return alive
 
 

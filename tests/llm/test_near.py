@@ -1,4 +1,5 @@
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -132,3 +133,7 @@ def test_parities_bound_the_difference():
     want = {x for p in combinations(range(len(sets)), 2) if leads[p[0]] == leads[p[1]] and root[p[0]] != root[p[1]] and similar(*p) for x in p}
     stay = set(np.flatnonzero(near._alive(np.array(leads), root, size, odd)).tolist())
     assert want <= stay and 10 < len(want) and len(stay) < len(sets)
+    few = np.array([near.parities(sets[0])] * 30_000 + [near.parities(x) for x in sets[50:52]]).view(np.uint64)  # one large component
+    root, size = np.array([1] * 30_000 + [2, 3]), np.array([len(sets[0])] * 30_000 + [len(x) for x in sets[50:52]])
+    began = time.process_time()
+    assert not near._alive(np.zeros(len(few), np.int64), root, size, few)[:30_000].any() and time.process_time() - began < 2
